@@ -18,32 +18,32 @@ MAX_INLINE_ENTRIES = 20_000
 ENTRIES_PER_BUCKET = 4
 
 
-def fits_inline(entries: DataFrame, limit: int = MAX_INLINE_ENTRIES) -> bool:
-    return entries.limit(limit + 1).count() <= limit
-
-
-def inline_lookup(entries: DataFrame, key: str) -> Callable[[Column], Column]:
+def inline_lookup(
+    entries: DataFrame, key: str, limit: int = MAX_INLINE_ENTRIES
+) -> Callable[[Column], Column] | None:
     """Function from a key Column to the struct of the other columns, null if unknown.
 
-    ``entries`` must have passed ``fits_inline``. Of repeated keys one wins.
+    None if ``entries`` has more than ``limit`` rows: at most limit + 1 reach the driver.
+    Of a repeated key the smallest values win, null keys and null values are left out.
     """
     values = [c for c in entries.columns if c != key]
     value_type = entries.select(*values).schema.simpleString()
-    slots = max(1, entries.count() // ENTRIES_PER_BUCKET)
     rows = (
-        entries.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*values)).alias("v"))
+        entries.dropna()
         .select(
-            F.pmod(F.xxhash64(key), F.lit(slots)).alias("slot"),
-            F.col(key).alias("k"),
-            F.to_json("v").alias("v"),
+            F.xxhash64(key).alias("hash"),
+            F.col(key).alias("key"),
+            F.struct(*values).alias("value"),
         )
+        .limit(limit + 1)
         .collect()
     )
+    if len(rows) > limit:
+        return None
+    slots = max(1, len(rows) // ENTRIES_PER_BUCKET)
     buckets: list[dict] = [{} for _ in range(slots)]
-    for row in rows:
-        buckets[row["slot"]][row["k"]] = json.loads(row["v"])
+    for row in sorted(rows, key=lambda r: tuple(r["value"]), reverse=True):
+        buckets[row["hash"] % slots][row["key"]] = row["value"].asDict()
     table = F.from_json(
         F.lit(json.dumps(buckets, ensure_ascii=False)), f"array<map<string,{value_type}>>"
     )

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatterscope.functions.binding import let
 from chatterscope.schema import NEGATORS
 
 THRESHOLD = 0.1
@@ -15,30 +16,37 @@ NEGATION = -0.5
 
 
 def polarity(
-    tokens: Column,
-    polarities: Column,
+    items: Column,
+    word: Callable[[Column], Column],
+    value: Callable[[Column], Column],
     negators: Sequence[str] = NEGATORS,
 ) -> Column:
-    """Mean polarity of the words that have one, 0.0 if none has.
+    """Mean polarity of the items that have one, 0.0 if none has.
 
-    ``polarities`` is aligned with ``tokens``, null for words the lexicon lacks. A
-    negator right before a word turns its polarity around and halves it.
+    ``word`` and ``value`` give an item's word and its polarity (null: none). A negator
+    right before a word turns its polarity around and halves it.
     """
-    pairs = F.zip_with(
-        F.zip_with(
-            tokens,
-            F.concat(F.array(F.lit("")), tokens),
-            lambda word, previous: F.struct(word.alias("word"), previous.alias("previous")),
-        ),
-        polarities,
-        lambda pair, p: p * F.when(pair["previous"].isin(list(negators)), NEGATION).otherwise(1.0),
-    )
-    hits = F.filter(pairs, lambda p: p.isNotNull())
-    total = F.aggregate(hits, F.lit(0.0), lambda acc, p: acc + p)
-    return F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
 
+    def signed(all_items: Column, at: Column) -> Column:
+        before = word(F.get(all_items, at - 1))
+        sign = F.when(before.isin(list(negators)), NEGATION).otherwise(1.0)
+        return value(F.get(all_items, at)) * sign
 
-def label(score: Column) -> Column:
+    def score(all_items: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(all_items) - 1)
+        hits = F.filter(places, lambda at: value(F.get(all_items, at)).isNotNull())
+        found = F.transform(hits, lambda at: signed(all_items, at))
+        mean = let(
+            found,
+            lambda f: F.aggregate(f, F.lit(0.0), lambda total, p: total + p)
+            / F.nullif(F.size(f), F.lit(0)),
+        )
+        return F.coalesce(F.when(F.size(all_items) > 0, mean), F.lit(0.0))
+
+    return let(items, score)
+
+
+def _label(score: Column) -> Column:
     return (
         F.when(score > THRESHOLD, "Positive")
         .when(score < -THRESHOLD, "Negative")
@@ -46,6 +54,10 @@ def label(score: Column) -> Column:
     )
 
 
+def label(score: Column) -> Column:
+    return let(score, _label)
+
+
 def score_text(
     df: DataFrame,
     scorer: Callable[[pd.Series], pd.Series],

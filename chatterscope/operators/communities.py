@@ -66,8 +66,8 @@ class Arcs:
 class ShortestPaths:
     """Breadth-first levels (source, node, paths) from all sources at once.
 
-    Levels are persisted; a lost one is computed again from the arcs. ``reached`` counts
-    the connected (source, node) pairs: it falls when a component falls apart.
+    ``reached`` counts the connected (source, node) pairs: it falls when a component
+    falls apart.
     """
 
     def __init__(self, arcs: Arcs, nodes: DataFrame) -> None:
@@ -75,23 +75,16 @@ class ShortestPaths:
         start = nodes.select(
             F.col("id").alias("source"), F.col("id").alias("node"), F.lit(1.0).alias("paths")
         )
-        self.kept: list[DataFrame] = []
         self.levels = [start]
         self.reached = 0
         while True:
-            level = self._keep(self._next_level(), cut=len(self.levels) % ROUNDS_PER_CUT == 0)
+            level = cut_lineage(self._next_level())
             found = level.count()
             if found == 0:
                 break
             self.reached += found
             self.levels.append(level)
 
-    def _keep(self, df: DataFrame, cut: bool = False) -> DataFrame:
-        if cut:
-            return cut_lineage(df)
-        self.kept.append(df.persist())
-        return df
-
     def _next_level(self) -> DataFrame:
         reached = (
             self.arcs.step(self.levels[-1])
@@ -104,46 +97,47 @@ class ShortestPaths:
             seen = seen.unionAll(self.levels[-2].select("source", "node"))
         return reached.join(seen, ["source", "node"], "left_anti")
 
+    def _flow(self, depth: int, below: DataFrame | None) -> DataFrame:
+        """What each arc from level ``depth`` up to the level before it carries, per source."""
+        level, credit = self.levels[depth], F.lit(1.0)
+        if below is not None:
+            level = level.join(below, ["source", "node"], "left")
+            credit = 1.0 + F.coalesce("passed", F.lit(0.0))
+        share = level.select("source", "node", (credit / F.col("paths")).alias("share"))
+        above = self.levels[depth - 1].select(
+            "source", F.col("node").alias("next"), F.col("paths").alias("above")
+        )
+        return (
+            self.arcs.step(share)
+            .join(above, ["source", "next"])
+            .select("source", "node", "next", (F.col("share") * F.col("above")).alias("flow"))
+        )
+
     def betweenness(self) -> DataFrame:
         """(src, dst, betweenness) by backward accumulation (Brandes 2001)."""
-        flows = []
+        carried = []
         below = None
         for depth in range(len(self.levels) - 1, 0, -1):
-            level, credit = self.levels[depth], F.lit(1.0)
-            if below is not None:
-                level = level.join(below, ["source", "node"], "left")
-                credit = 1.0 + F.coalesce("passed", F.lit(0.0))
-            share = level.select("source", "node", (credit / F.col("paths")).alias("share"))
-            above = self.levels[depth - 1].select(
-                "source", F.col("node").alias("next"), F.col("paths").alias("above")
-            )
-            flow = (
-                self.arcs.step(share)
-                .join(above, ["source", "next"])
-                .select(
-                    "source", "node", "next", (F.col("share") * F.col("above")).alias("flow")
+            flow = self._flow(depth, below)
+            carried.append(
+                flow.select(
+                    F.least("node", "next").alias("src"),
+                    F.greatest("node", "next").alias("dst"),
+                    "flow",
                 )
             )
-            # One row per source and arc: what each edge carries, and what its end passes on.
-            flow = self._keep(flow, cut=depth % ROUNDS_PER_CUT == 0)
-            flows.append(
-                flow.groupBy(
-                    F.least("node", "next").alias("src"), F.greatest("node", "next").alias("dst")
-                ).agg(F.sum("flow").alias("flow"))
-            )
-            below = flow.groupBy("source", F.col("next").alias("node")).agg(
-                F.sum("flow").alias("passed")
-            )
+            if depth > 1:
+                below = cut_lineage(
+                    flow.groupBy("source", F.col("next").alias("node")).agg(
+                        F.sum("flow").alias("passed")
+                    )
+                )
         # Every pair of vertices was counted from both its ends.
         half = F.round(F.sum("flow") / 2, 9)
-        return reduce(DataFrame.unionAll, flows).groupBy("src", "dst").agg(
-            half.alias("betweenness")
+        return (
+            reduce(DataFrame.unionAll, carried).groupBy("src", "dst").agg(half.alias("betweenness"))
         )
 
-    def release(self) -> None:
-        for df in self.kept:
-            df.unpersist()
-
 
 def edge_betweenness(edges: DataFrame) -> DataFrame:
     """(src, dst, betweenness) of a graph's edges, self-loops left out."""
@@ -151,9 +145,7 @@ def edge_betweenness(edges: DataFrame) -> DataFrame:
     paths = ShortestPaths(Arcs(simple), vertices_of(simple))
     if not paths.reached:
         return simple.withColumn("betweenness", F.lit(0.0))
-    result = cut_lineage(paths.betweenness())
-    paths.release()
-    return result
+    return paths.betweenness()
 
 
 def split_communities(edges: DataFrame) -> DataFrame:
@@ -169,12 +161,10 @@ def split_communities(edges: DataFrame) -> DataFrame:
     while True:
         paths = ShortestPaths(arcs, vertices)
         if not paths.reached or (before is not None and paths.reached < before):
-            paths.release()
             break
         before = paths.reached
         # One row reaches the driver per round: the edge to remove.
         best = paths.betweenness().orderBy(F.desc("betweenness"), "src", "dst").first()
-        paths.release()
         arcs.remove(best["src"], best["dst"])
     return number_communities(connected_components(arcs.edges(), vertices))
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatterscope import schema
-from chatterscope.functions.dictionary import fits_inline
 from chatterscope.functions.text import space_tokens, strip
 from chatterscope.operators.ranking import count_by, top
 from chatterscope.operators.trends import share_of
 
+MAX_BROADCAST_PLACES = 100_000
+
 
 def city_mentions(posts: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """Mentions per place: each blank-separated token that is exactly a place's tag."""
@@ -19,7 +20,7 @@ def city_mentions(posts: DataFrame, places: DataFrame | None = None) -> DataFram
         strip(F.col("token")).alias("tag")
     )
     names = places.select("tag", F.col("place").alias("city"))
-    if fits_inline(names):
+    if names.limit(MAX_BROADCAST_PLACES + 1).count() <= MAX_BROADCAST_PLACES:
         return count_by(tags.join(F.broadcast(names), "tag"), "city")
     # A dimension beyond the broadcast bound meets counted tags, so no tag is hot.
     return count_by(tags, "tag").join(names, "tag").groupBy("city").agg(F.sum("n").alias("n"))
@@ -43,12 +44,9 @@ def geo_sentiment(placed: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def with_coordinates(placed: DataFrame) -> DataFrame:
-    return placed.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-
-
 def geo_center(placed: DataFrame) -> DataFrame:
-    return with_coordinates(placed).agg(
+    """Mean position of the posts that have one."""
+    return placed.agg(
         F.round(F.avg("latitude"), 6).alias("latitude"),
         F.round(F.avg("longitude"), 6).alias("longitude"),
     )
@@ -56,7 +54,7 @@ def geo_center(placed: DataFrame) -> DataFrame:
 
 def geo_density(placed: DataFrame, step: float = 10.0) -> DataFrame:
     """Posts per grid cell of ``step`` degrees."""
-    cells = with_coordinates(placed).select(
+    cells = placed.select(
         F.floor(F.col("latitude") / step).cast("bigint").alias("lat_cell"),
         F.floor(F.col("longitude") / step).cast("bigint").alias("lon_cell"),
     )
@@ -66,13 +64,13 @@ def geo_density(placed: DataFrame, step: float = 10.0) -> DataFrame:
 def location_markers(placed: DataFrame, k: int = 10) -> DataFrame:
     """The k busiest places with their most used hashtag, position and popup text."""
     per_tag = (
-        with_coordinates(placed)
-        .groupBy("location_name", "location_hashtag")
+        placed.groupBy("location_name", "location_hashtag")
         .agg(
-            F.count("*").alias("n"),
+            F.count("latitude").alias("n"),
             F.min("latitude").alias("latitude"),
             F.min("longitude").alias("longitude"),
         )
+        .filter(F.col("n") > 0)
     )
     per_place = per_tag.groupBy("location_name").agg(
         F.sum("n").alias("n"),

@@ -5,7 +5,7 @@ An undirected graph is a table ``(src, dst, ...)`` with ``src <= dst``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterscope.functions.metrics import as_int
@@ -32,28 +32,26 @@ def interactions(posts: DataFrame) -> DataFrame:
     A repost names its author twice, as mention and as repost. ``first`` marks the first
     time a post names a user, so posts per pair can be summed without a distinct.
     """
-    text = F.col("text")
-    mentions = extract_mentions(text)
-    target = repost_target(text)
+    def to(target: Column, kind: str | None, first: int) -> Column:
+        return F.struct(
+            target.alias("target"),
+            F.lit(kind).cast("string").alias("kind"),
+            F.lit(first).alias("first"),
+        )
+
     named = F.concat(
-        F.transform(
-            mentions,
-            lambda m: F.struct(m.alias("target"), F.lit("mention").alias("kind"), F.lit(0).alias("first")),
-        ),
-        F.when(
-            target.isNotNull(),
-            F.array(F.struct(target.alias("target"), F.lit("retweet").alias("kind"), F.lit(0).alias("first"))),
-        ).otherwise(F.array().cast("array<struct<target:string,kind:string,first:int>>")),
-        F.transform(
-            F.array_distinct(mentions),
-            lambda m: F.struct(
-                m.alias("target"), F.lit(None).cast("string").alias("kind"), F.lit(1).alias("first")
-            ),
-        ),
+        F.transform("mentions", lambda m: to(m, "mention", 0)),
+        F.filter(F.array(to(F.col("reposted"), "retweet", 0)), lambda t: t["target"].isNotNull()),
+        F.transform(F.array_distinct("mentions"), lambda m: to(m, None, 1)),
+    )
+    named_by = posts.filter(F.col("username").isNotNull() & (F.col("username") != "")).select(
+        "post_id",
+        "username",
+        extract_mentions(F.col("text")).alias("mentions"),
+        repost_target(F.col("text")).alias("reposted"),
     )
     rows = (
-        posts.filter(F.col("username").isNotNull() & (F.col("username") != ""))
-        .select("post_id", "username", F.explode_outer(named).alias("to"))
+        named_by.select("post_id", "username", F.explode_outer(named).alias("to"))
         .select("post_id", "username", "to.*")
         .filter((F.col("target") != "") & (F.col("target") != F.col("username")))
     )

@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 
 def count_by(df: DataFrame, *keys: str, output: str = "n") -> DataFrame:
-    """Rows per key; a hot key is summed up before the shuffle. Null keys are left out."""
-    for key in keys:
-        df = df.filter(F.col(key).isNotNull())
-    return df.groupBy(*keys).agg(F.count("*").alias(output))
+    """Rows per key, null keys left out; a hot key is summed up before the shuffle.
+
+    Nulls go by their count, since a filter on the keys would be pushed below whatever
+    computes them and compute them twice.
+    """
+    known = F.col(keys[0]).isNotNull()
+    for key in keys[1:]:
+        known = known & F.col(key).isNotNull()
+    counted = df.groupBy(*keys).agg(F.count_if(known).alias(output))
+    return counted.filter(F.col(output) > 0)
 
 
 def top(df: DataFrame, by: str, *ties: str, k: int) -> DataFrame:

@@ -29,21 +29,19 @@ def with_sentiment(
 ) -> DataFrame:
     """Add ``sentiment_score`` and ``sentiment`` from a (word, polarity) lexicon."""
     lexicon = schema.lexicon(posts.sparkSession) if lexicon is None else lexicon
-    words = text.clean_tokens(cleaned(posts))
     scored = lookup_tokens(
-        posts.withColumn("_words", words),
-        F.col("_words"),
+        posts.withColumn("_words", text.clean_tokens(cleaned(posts))),
+        "_words",
         lexicon.select("word", F.col("polarity").cast("double").alias("polarity")),
         "word",
         "polarity",
         "post_id",
-        "_polarities",
     )
-    score = sentiment.polarity(F.col("_words"), F.col("_polarities"), negators)
+    score = sentiment.polarity(F.col("_words"), scored.token, scored.value, negators)
     return (
-        scored.withColumn("sentiment_score", score)
+        scored.df.withColumn("sentiment_score", score)
         .withColumn("sentiment", sentiment.label(F.col("sentiment_score")))
-        .drop("_words", "_polarities")
+        .drop("_words")
     )
 
 
@@ -61,16 +59,17 @@ def with_tokens(
 
 def lemmatize(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Replace each token by its lemma; unknown forms stay as they are."""
-    found = lookup_tokens(
-        df, F.col(tokens), lemmas, "form", "lemma", "post_id", "_lemmas"
+    found = lookup_tokens(df, tokens, lemmas, "form", "lemma", "post_id")
+    return found.df.withColumn(
+        tokens, F.transform(tokens, lambda t: F.coalesce(found.value(t), found.token(t)))
     )
-    merged = F.zip_with(tokens, "_lemmas", lambda form, lemma: F.coalesce(lemma, form))
-    return found.withColumn(tokens, merged).drop("_lemmas")
 
 
 def first_place(hashtags: Column, places: DataFrame) -> Column:
     """Struct (hashtag, place, lat, lon) of the first hashtag that names a place, else null."""
     find = inline_lookup(places, "tag")
+    if find is None:
+        raise ValueError("too many places to look up per post; use operators.geo.city_mentions")
     tagged = F.transform(
         hashtags, lambda h: F.struct(h.alias("hashtag"), find(F.concat(F.lit("#"), h)).alias("at"))
     )

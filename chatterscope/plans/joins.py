@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatterscope.functions.dictionary import fits_inline, inline_lookup
+from chatterscope.functions.dictionary import MAX_INLINE_ENTRIES, inline_lookup
 
 # A key is hot above this share of the rows, so there are fewer than 1 / HOT_SHARE
 # hot keys: that bounds the list the driver holds, whatever the size of the data.
@@ -63,37 +66,48 @@ def salted_join(
     return joined.drop(SALT)
 
 
+@dataclass
+class Lookup:
+    """A table whose token column was looked up: how to read an element's token and value."""
+
+    df: DataFrame
+    token: Callable[[Column], Column]
+    value: Callable[[Column], Column]
+
+
 def lookup_tokens(
     df: DataFrame,
-    tokens: Column,
+    tokens: str,
     entries: DataFrame,
     key: str,
     value: str,
     row_id: str,
-    output: str,
-    inline: bool | None = None,
-) -> DataFrame:
-    """Add ``output``: for each token, in order, what ``entries`` says, null if nothing.
+    inline_limit: int = MAX_INLINE_ENTRIES,
+) -> Lookup:
+    """Look each element of the array column ``tokens`` up in ``entries``.
 
-    A dictionary of checked size is looked up inside the row. A larger one is joined:
-    tokens are counted before the shuffle by nothing but their own row, hot tokens are
-    salted, and each row's answers (never more than its own tokens) come back by position.
+    A dictionary of checked size is looked up inside the row. A larger one is joined, hot
+    tokens salted, and each row's answers (never more than its own tokens) come back by
+    position, as (token, value) pairs; ``row_id`` must be unique then.
     """
-    entries = entries.select(key, value)
-    if fits_inline(entries) if inline is None else inline:
-        find = inline_lookup(entries, key)
-        return df.withColumn(output, F.transform(tokens, lambda t: find(t)[value]))
-
-    unique = entries.groupBy(key).agg(F.min(value).alias("_value"))
-    rows = df.select(row_id, F.posexplode(tokens).alias("_pos", key))
-    found = salted_join(rows, unique, key, "left", by=[row_id])
+    entries = entries.select(F.col(key).alias("token"), F.col(value).alias("value"))
+    find = inline_lookup(entries, "token", inline_limit)
+    if find is not None:
+        return Lookup(df, lambda t: t, lambda t: find(t)["value"])
+
+    unique = entries.dropna().groupBy("token").agg(F.min("value").alias("value"))
+    rows = df.select(row_id, F.posexplode(tokens).alias("_pos", "token"))
+    found = salted_join(rows, unique, "token", "left", by=[row_id])
     per_row = found.groupBy(row_id).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "_value"))).alias("_found")
+        F.array_sort(F.collect_list(F.struct("_pos", "token", "value"))).alias("_found")
     )
     answers = per_row.select(
-        row_id, F.transform("_found", lambda s: s["_value"]).alias(output)
-    )
-    empty = F.array().cast(answers.schema[output].dataType)
-    return df.join(answers, row_id, "left").withColumn(
-        output, F.coalesce(F.col(output), F.when(tokens.isNotNull(), empty))
+        row_id,
+        F.transform(
+            "_found", lambda s: F.struct(s["token"].alias("token"), s["value"].alias("value"))
+        ).alias("_found"),
     )
+    nothing = F.array().cast(answers.schema["_found"].dataType)
+    pairs = F.when(F.col(tokens).isNotNull(), F.coalesce("_found", nothing))
+    paired = df.join(answers, row_id, "left").withColumn(tokens, pairs).drop("_found")
+    return Lookup(paired, lambda pair: pair["token"], lambda pair: pair["value"])
