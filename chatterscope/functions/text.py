@@ -13,11 +13,20 @@ from pyspark.sql import functions as F
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x1f\x85\p{Z}"
 
+# The white space of SPACE, character by character.
+SPACE_CHARACTERS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 URL = rf"(?:http|www)[^{SPACE}]+"
 # A mention goes as a whole, any other character that is neither a letter, a
-# non-decimal number, an underscore nor white space goes alone.
-NOISE_UNICODE = rf"@[{WORD}]*|[^\p{{L}}\p{{Nl}}\p{{No}}_{SPACE}@]+"
-NOISE_ASCII = rf"@[{WORD}]*|[^A-Za-z_\t-\r\x1c-\x1f @]+"
+# non-decimal number, an underscore nor white space goes alone. The lookahead passes
+# over the common characters before the costly class is tried.
+NOISE_UNICODE = rf"(?![a-zA-Z ])(?:@[{WORD}]*|[^\p{{L}}\p{{Nl}}\p{{No}}_{SPACE}@]+)"
+NOISE_ASCII = rf"(?![a-zA-Z ])(?:@[{WORD}]*|[^A-Za-z_\t-\r\x1c-\x1f @]+)"
+# Runs of white space, but for a single blank before a letter, which may stay.
+SPACE_RUNS = rf"(?! ?[a-z])[{SPACE}]+"
 
 
 def empty_strings() -> Column:
@@ -25,8 +34,8 @@ def empty_strings() -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of white space; Spark's trim knows U+0020 only."""
-    return F.regexp_replace(c, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    """Trim every kind of white space; by default Spark trims U+0020 only."""
+    return F.btrim(c, F.lit(SPACE_CHARACTERS))
 
 
 def is_blank(c: Column) -> Column:
@@ -40,9 +49,7 @@ def clean_text(c: Column, ascii_only: bool = False) -> Column:
         c.contains("http") | c.contains("www"), F.regexp_replace(c, URL, "")
     ).otherwise(c)
     kept = F.regexp_replace(no_urls, NOISE_ASCII if ascii_only else NOISE_UNICODE, "")
-    return F.coalesce(
-        F.btrim(F.regexp_replace(F.lower(kept), rf"[{SPACE}]+", " ")), F.lit("")
-    )
+    return F.coalesce(F.btrim(F.regexp_replace(F.lower(kept), SPACE_RUNS, " ")), F.lit(""))
 
 
 def _names_after(c: Column, sign: str) -> Column:
@@ -97,12 +104,6 @@ def alphabetic_tokens(cleaned: Column, stopwords: Sequence[str]) -> Column:
     return without(letters, stopwords)
 
 
-def vector_terms(cleaned: Column, stopwords: Sequence[str]) -> Column:
-    """Words of two or more characters, as a bag-of-words vectorizer sees them."""
-    words = F.regexp_extract_all(F.lower(cleaned), F.lit(f"([{WORD}]{{2,}})"), F.lit(1))
-    return without(F.coalesce(words, empty_strings()), stopwords)
-
-
 def content_type(c: Column) -> Column:
     return (
         F.when(c.isNull(), "Other")

@@ -33,34 +33,29 @@ def word_frequencies(
 ) -> DataFrame:
     """Most frequent words of two or more characters in the clean texts."""
     stopwords = schema.stopwords() if stopwords is None else stopwords
-    words = text.clean_tokens(text.clean_text(F.col("text")))
+    words = F.split(text.clean_text(F.col("text")), " ")
     counted = count_by(explode_names(posts, words, "word"), "word")
     kept = counted.filter((F.length("word") >= 2) & ~F.col("word").isin(list(stopwords)))
     return top(kept, "n", "word", k=k)
 
 
 def term_statistics(posts: DataFrame, stopwords: Sequence[str] | None = None) -> DataFrame:
-    """(term, n, df): occurrences and number of posts, in one pass without a per-post shuffle.
+    """(term, n, df): occurrences and number of posts, terms having two or more characters.
 
-    Each post emits its terms and, marked apart, its distinct terms, so both sums are
-    reduced inside the task before anything moves.
+    Each post emits its words and, behind them, its distinct words, so both sums are reduced
+    inside the task before anything moves: no shuffle by post.
     """
     stopwords = schema.stopwords() if stopwords is None else stopwords
-    terms = text.vector_terms(text.clean_text(F.col("text")), stopwords)
-    marked = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct("terms"),
-            lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("df")),
-        ),
+    words = F.split(text.clean_text(F.col("text")), " ")
+    rows = posts.select(words.alias("words")).select(
+        F.size("words").alias("size"),
+        F.posexplode(F.concat("words", F.array_distinct("words"))).alias("at", "term"),
     )
-    rows = posts.select(terms.alias("terms")).select(F.explode_outer(marked).alias("m"))
-    return (
-        rows.filter(F.col("m").isNotNull())
-        .select("m.*")
-        .groupBy("term")
-        .agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    counted = rows.groupBy("term").agg(
+        F.count_if(F.col("at") < F.col("size")).alias("n"),
+        F.count_if(F.col("at") >= F.col("size")).alias("df"),
     )
+    return counted.filter((F.length("term") >= 2) & ~F.col("term").isin(list(stopwords)))
 
 
 def term_counts(
