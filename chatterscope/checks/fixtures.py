@@ -44,7 +44,9 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 13 == 0, F.concat(F.lit(" https://t.co/x"), event.cast("string"))).otherwise(""),
     )
     user = F.col("user_id")
-    return events.join(body, "doc_id").select(
+    # Both sides by key: broadcasting the events would leave the texts to as many tasks as the
+    # document file has splits, and every query works on the texts.
+    return events.join(body.hint("merge"), "doc_id").select(
         event.alias("post_id"),
         F.when(event % 101 != 0, text).alias("text"),
         "ts",

@@ -23,8 +23,9 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
 
 
-def hot_keys(counts: DataFrame, key: str, floor: int = HOT_FLOOR) -> list:
+def hot_keys(counts: DataFrame, key: str, floor: int | None = None) -> list:
     """Keys of ``counts(key, n)`` with more than HOT_SHARE of all rows and ``floor`` rows."""
+    floor = HOT_FLOOR if floor is None else floor
     total = counts.agg(F.sum("n")).scalar()
     hot = counts.filter((F.col("n") > floor) & (F.col("n") > total * HOT_SHARE))
     return [row[0] for row in hot.select(key).collect()]
@@ -50,7 +51,7 @@ def salted_join(
     how: str = "inner",
     by: list[str] | None = None,
     counts: DataFrame | None = None,
-    floor: int = HOT_FLOOR,
+    floor: int | None = None,
 ) -> DataFrame:
     """Join on ``key`` (inner, left, left_semi or left_anti), splitting the hot keys of ``rows``.
 
