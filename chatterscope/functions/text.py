@@ -99,9 +99,13 @@ def remove_stopwords(cleaned: Column, stopwords: Sequence[str]) -> Column:
 
 
 def alphabetic_tokens(cleaned: Column, stopwords: Sequence[str]) -> Column:
-    """Lower-case words made of letters only, stop words left out."""
-    letters = F.filter(word_tokens(cleaned), lambda w: w.rlike(r"^\p{L}+$"))
-    return without(letters, stopwords)
+    """Words of a cleaned text made of letters only, stop words left out."""
+
+    def wanted(w: Column) -> Column:
+        letters = (w != "") & ~w.rlike(r"[^\p{L}]")
+        return ~w.isin(list(stopwords)) & letters if stopwords else letters
+
+    return F.filter(F.split(cleaned, " "), wanted)
 
 
 def content_type(c: Column) -> Column:

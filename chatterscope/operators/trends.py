@@ -78,21 +78,21 @@ def bag_of_words(posts: DataFrame) -> DataFrame:
     """
     words = F.sort_array(text.clean_tokens(text.clean_text(F.col("text"))))
     starts = F.filter(
-        F.transform("words", lambda w, i: F.struct(w.alias("term"), i.alias("at"))),
-        lambda s: (s["at"] == 0) | (F.get("words", s["at"] - 1) != s["term"]),
+        F.slice(F.sequence(F.lit(0), F.size("words")), F.lit(1), F.size("words")),
+        lambda at: (at == 0) | (F.get("words", at) != F.get("words", at - 1)),
     )
-    ends = F.concat(F.slice(F.transform("starts", lambda s: s["at"]), 2, F.size("starts")),
-                    F.array(F.size("words")))
+    ends = F.slice(F.concat("starts", F.array(F.size("words"))), F.lit(2), F.size("starts"))
     counts = F.zip_with(
         "starts",
         "ends",
-        lambda s, end: F.struct(s["term"].alias("term"), (end - s["at"]).cast("bigint").alias("n")),
+        lambda start, end: F.struct(
+            F.get("words", start).alias("term"), (end - start).cast("bigint").alias("n")
+        ),
     )
     return (
         posts.select("post_id", words.alias("words"))
-        .filter(F.size("words") > 0)
         .select("post_id", "words", starts.alias("starts"))
-        .select("post_id", "starts", ends.alias("ends"))
+        .select("post_id", "words", "starts", ends.alias("ends"))
         .select("post_id", F.inline(counts))
     )
 

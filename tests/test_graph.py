@@ -1,4 +1,3 @@
-import math
 import random
 from collections import defaultdict, deque
 
@@ -231,5 +230,4 @@ def test_prolific_author(spark, monkeypatch):
     joined = engagement.posts_with_users(posts, users)
     assert joined.count() == 3000
     by_name = {r["username"]: r["count"] for r in joined.groupBy("username").count().collect()}
-    assert by_name == {"ann": 1001, "bob": 1, "N/A": 1998} or by_name["ann"] in (1000, 1001)
-    assert sum(by_name.values()) == 3000 and math.isclose(by_name["bob"], 1)
+    assert by_name == {"ann": 1001, "bob": 1, "N/A": 1998}
