@@ -265,7 +265,7 @@ on_posts("interaction_edges_negative", lambda p: edges_of(p, "negative"))
 on_posts("edge_posts", graph.edge_posts)
 on_posts("interaction_edges_pruned", lambda p: graph.prune(network(p)))
 on_posts("interaction_nodes", lambda p: graph.interaction_nodes(network(p)))
-on_posts("graph_stats", lambda p: graph.graph_stats(edges_of(p)))
+on_posts("graph_stats", lambda p: graph.graph_stats(network(p)))
 on_posts("top_mentioned", graph.top_mentioned)
 on_posts("connected_components", lambda p: components.connected_components(network(p)))
 on_posts(

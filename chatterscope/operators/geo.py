@@ -9,6 +9,7 @@ from chatterscope import schema
 from chatterscope.functions.text import space_tokens, strip
 from chatterscope.operators.ranking import count_by, top
 from chatterscope.operators.trends import share_of
+from chatterscope.plans.lineage import cut_lineage
 
 MAX_BROADCAST_PLACES = 100_000
 
@@ -35,8 +36,11 @@ def location_counts(placed: DataFrame, k: int = 10) -> DataFrame:
 
 
 def geo_sentiment(placed: DataFrame, k: int = 10) -> DataFrame:
-    """Sentiment shares of the k places with most posts; both counts come from one roll-up."""
-    counts = count_by(placed, "location_name", "sentiment")
+    """Sentiment shares of the k places with most posts.
+
+    The roll-up (a row per place and sentiment) is kept, so that the texts are read once.
+    """
+    counts = cut_lineage(count_by(placed, "location_name", "sentiment"))
     totals = counts.groupBy("location_name").agg(F.sum("n").alias("n"))
     best = top(totals, "n", "location_name", k=k).select("location_name")
     return share_of(counts, "location_name").join(

@@ -12,6 +12,7 @@ from chatterscope.functions.metrics import as_int
 from chatterscope.functions.text import extract_mentions, repost_target
 from chatterscope.operators.ranking import count_by, explode_names, top
 from chatterscope.plans.joins import salted_join
+from chatterscope.plans.lineage import cut_lineage
 
 PRUNE_ABOVE = 100
 PRUNE_DEGREE = 2
@@ -123,6 +124,8 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
 
 
 def _with_centrality(nodes: DataFrame) -> DataFrame:
+    """Share of the other vertices each one is linked to; the degrees are kept, being read twice."""
+    nodes = cut_lineage(nodes)
     others = nodes.agg(F.count("*") - 1).scalar()
     share = F.col("degree") / F.nullif(others, F.lit(0))
     return nodes.withColumn("centrality", F.round(F.coalesce(share, F.lit(1.0)), 9))
@@ -141,7 +144,7 @@ def influencer_flags(edges: DataFrame, k: int = 10) -> DataFrame:
 
 
 def graph_stats(edges: DataFrame) -> DataFrame:
-    """One row: vertices, edges."""
+    """One row: vertices, edges. The edges are read twice, so pass kept ones."""
     vertices = degrees(edges).agg(F.count("*")).scalar()
     return edges.agg(vertices.alias("vertices"), F.count("*").alias("edges"))
 
@@ -158,20 +161,24 @@ def kept_vertices(
 def prune(
     edges: DataFrame, above: int = PRUNE_ABOVE, min_degree: int = PRUNE_DEGREE
 ) -> DataFrame:
-    """Edges between kept vertices."""
-    kept = kept_vertices(edges, above, min_degree)
-    pruned = edges
+    """Edges between kept vertices. The edges are read several times, so pass kept ones."""
+    return between(edges, kept_vertices(edges, above, min_degree))
+
+
+def between(edges: DataFrame, kept: DataFrame) -> DataFrame:
+    """Edges with both ends in ``kept``; edges of a hub are salted."""
+    left = edges
     for end in ("src", "dst"):
-        pruned = salted_join(pruned, kept.withColumnRenamed("id", end), end, "left_semi")
-    return pruned.select(*edges.columns)
+        left = salted_join(left, kept.withColumnRenamed("id", end), end, "left_semi")
+    return left.select(*edges.columns)
 
 
 def interaction_nodes(
     edges: DataFrame, above: int = PRUNE_ABOVE, min_degree: int = PRUNE_DEGREE
 ) -> DataFrame:
     """(id, degree, centrality, size, title) of the pruned graph, isolated vertices too."""
-    kept = kept_vertices(edges, above, min_degree)
-    left = kept.join(degrees(prune(edges, above, min_degree)), "id", "left")
+    kept = cut_lineage(kept_vertices(edges, above, min_degree))
+    left = kept.join(degrees(between(edges, kept)), "id", "left")
     nodes = _with_centrality(left.withColumn("degree", F.coalesce("degree", F.lit(0))))
     return nodes.select(
         "id",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chatterscope import schema
 from chatterscope.functions import text
 from chatterscope.operators.ranking import count_by, explode_names, top
+from chatterscope.plans.lineage import cut_lineage
 
 
 def hashtag_counts(posts: DataFrame) -> DataFrame:
@@ -112,13 +113,13 @@ def _day_text(c: str):
 def hashtag_trends(posts: DataFrame, k: int = 5) -> DataFrame:
     """Daily counts of the k most used hashtags; days without one count 0.
 
-    The (day, hashtag) roll-up is shuffled once and serves both the ranking and the series.
+    The (day, hashtag) roll-up is kept, so that ranking and series read the texts once.
     """
     tags = posts.select(
         _day().alias("date"),
         F.explode_outer(text.extract_hashtags(F.col("text"))).alias("hashtag"),
     ).filter(F.col("hashtag").isNotNull())
-    daily = tags.groupBy("date", "hashtag").agg(F.count("*").alias("n"))
+    daily = cut_lineage(tags.groupBy("date", "hashtag").agg(F.count("*").alias("n")))
     best = top(daily.groupBy("hashtag").agg(F.sum("n").alias("n")), "n", "hashtag", k=k)
     span = posts.agg(F.struct(F.min(_day()).alias("first"), F.max(_day()).alias("last")))
     calendar = best.select("hashtag", span.scalar().alias("span")).select(
