@@ -17,13 +17,21 @@ MAX_BROADCAST_PLACES = 100_000
 def city_mentions(posts: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """Mentions per place: each blank-separated token that is exactly a place's tag."""
     places = schema.places(posts.sparkSession) if places is None else places
-    tags = posts.select(F.explode(space_tokens(F.col("text"))).alias("token")).select(
-        strip(F.col("token")).alias("tag")
-    )
     names = places.select("tag", F.col("place").alias("city"))
-    if names.limit(MAX_BROADCAST_PLACES + 1).count() <= MAX_BROADCAST_PLACES:
+    checked = (
+        names.limit(MAX_BROADCAST_PLACES + 1)
+        .agg(F.count("*").alias("n"), F.bool_and(F.col("tag").startswith("#")).alias("signed"))
+        .first()
+    )
+    tokens = posts.select(F.explode(space_tokens(F.col("text"))).alias("token"))
+    if checked["n"] <= MAX_BROADCAST_PLACES:
+        if checked["signed"]:
+            # No other token can match, so the rest need not be trimmed and probed.
+            tokens = tokens.filter(F.col("token").contains("#"))
+        tags = tokens.select(strip(F.col("token")).alias("tag"))
         return count_by(tags.join(F.broadcast(names), "tag"), "city")
     # A dimension beyond the broadcast bound meets counted tags, so no tag is hot.
+    tags = tokens.select(strip(F.col("token")).alias("tag"))
     return count_by(tags, "tag").join(names, "tag").groupBy("city").agg(F.sum("n").alias("n"))
 
 

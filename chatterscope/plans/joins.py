@@ -26,9 +26,11 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 def hot_keys(counts: DataFrame, key: str, floor: int | None = None) -> list:
     """Keys of ``counts(key, n)`` with more than HOT_SHARE of all rows and ``floor`` rows."""
     floor = HOT_FLOOR if floor is None else floor
-    total = counts.agg(F.sum("n")).scalar()
-    hot = counts.filter((F.col("n") > floor) & (F.col("n") > total * HOT_SHARE))
-    return [row[0] for row in hot.select(key).collect()]
+    sizes = counts.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
+    bar = max(floor, (sizes["total"] or 0) * HOT_SHARE)
+    if (sizes["largest"] or 0) <= bar:
+        return []
+    return [row[0] for row in counts.filter(F.col("n") > bar).select(key).collect()]
 
 
 def salt_rows(df: DataFrame, key: str, hot: list, by: list[str]) -> DataFrame:

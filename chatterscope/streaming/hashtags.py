@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chatterscope.functions.text import extract_hashtags, word_tokens
+from chatterscope.functions.text import SPACE, extract_hashtags
 
 BATCH_INTERVAL = "5 seconds"
 
@@ -22,7 +22,9 @@ def read_lines(spark: SparkSession, path: str | None = None, source: str = "text
 
 def hashtag_words(lines: DataFrame) -> DataFrame:
     """Lower-case words that start with '#', one per row."""
-    words = F.filter(word_tokens(F.col("value")), lambda w: w.startswith("#"))
+    # A '#' with nothing or white space before it, and what follows up to white space.
+    pattern = rf"(#(?<![^{SPACE}]#)[^{SPACE}]*)"
+    words = F.regexp_extract_all(F.lower("value"), F.lit(pattern), F.lit(1))
     return lines.select(F.explode_outer(words).alias("hashtag")).filter(
         F.col("hashtag").isNotNull()
     )

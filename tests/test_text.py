@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from chatterscope import schema
 from chatterscope.functions import sentiment, text
 from chatterscope.functions.dictionary import inline_lookup
-from chatterscope.operators import trends
+from chatterscope.operators import geo, trends
 from chatterscope.plans import features
 
 
@@ -145,6 +145,19 @@ def test_place_of_first_matching_tag(spark):
     assert rows[1]["location_name"] is None and rows[2]["latitude"] is None
 
 
+def test_city_mentions(spark, monkeypatch):
+    df = spark.createDataFrame(
+        [("#NYC \n#NYC #nyc x\n#NYC #London!",), ("#Bombay #Mumbai",), (None,)], "text string"
+    )
+    expected = {"New York City": 2, "Mumbai": 2}
+    assert {r["city"]: r["n"] for r in geo.city_mentions(df).collect()} == expected
+    monkeypatch.setattr(geo, "MAX_BROADCAST_PLACES", 3)
+    assert {r["city"]: r["n"] for r in geo.city_mentions(df).collect()} == expected
+    words = spark.createDataFrame([("x", "X", 0.0, 0.0)], schema.PLACE_SCHEMA)
+    plain = spark.createDataFrame([("x y x",)], "text string")
+    assert [tuple(r) for r in geo.city_mentions(plain, words).collect()] == [("X", 2)]
+
+
 def test_bag_of_words_and_terms(spark):
     df = spark.createDataFrame(
         [(1, "b a b"), (2, "a"), (3, ""), (4, None), (5, "bb bb cc"), (6, "cc")],
