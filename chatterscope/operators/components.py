@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from chatterscope.functions.metrics import as_number, row_total
@@ -27,26 +27,32 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
         )
         .distinct()
     )
-    while not _is_star_forest(links):
-        links = cut_lineage(_small_star(_large_star(links)))
+    while True:
+        state = _state(links)
+        if not state["unsettled"]:
+            break
+        size = state["links"]
+        links = cut_lineage(_small_star(_large_star(links, size), size))
     roots = links.select(F.col("child").alias("id"), F.col("parent").alias("component"))
     return vertices.join(roots, "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, size: int) -> DataFrame:
     """Hang every larger neighbour of a vertex under its smallest neighbour."""
     as_child = links.groupBy(F.col("child").alias("parent")).agg(F.min("parent").alias("smallest"))
     sizes = links.groupBy("parent").agg(F.count("*").alias("n"))
     smallest = sizes.join(as_child, "parent", "left").select(
         "parent", F.coalesce("smallest", "parent").alias("root")
     )
-    moved = salted_join(links, smallest, "parent", by=["child"], counts=sizes)
+    moved = salted_join(
+        links, smallest, "parent", by=["child"], counts=sizes, at_most=size
+    )
     return moved.select("child", F.col("root").alias("parent")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, size: int) -> DataFrame:
     """Hang a vertex and its smaller neighbours under the smallest of them."""
     smallest = links.groupBy("child").agg(F.min("parent").alias("root"), F.count("*").alias("n"))
     moved = salted_join(
@@ -55,6 +61,7 @@ def _small_star(links: DataFrame) -> DataFrame:
         "child",
         by=["parent"],
         counts=smallest.select("child", "n"),
+        at_most=size,
     )
     # Each link carries its child along, so one pass over the join yields both kinds of link.
     both = moved.select(
@@ -68,15 +75,24 @@ def _small_star(links: DataFrame) -> DataFrame:
     return both.filter(F.col("child") != F.col("parent")).distinct()
 
 
-def _is_star_forest(links: DataFrame) -> bool:
-    """True once every child has one parent and no parent is a child."""
-    twice = links.groupBy("child").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    chained = (
-        links.select(F.col("parent").alias("child"))
-        .distinct()
-        .join(links.select("child").distinct(), "child", "left_semi")
-    )
-    return twice.select("child").unionAll(chained).isEmpty()
+def _state(links: DataFrame) -> Row:
+    """Number of links, and of vertices that have two parents or are child and parent.
+
+    Without such a vertex the links form stars around the smallest members: done.
+    """
+    ends = links.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("child").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                F.struct(F.col("parent").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+            )
+        ).alias("end")
+    ).select("end.*")
+    per_vertex = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per_vertex.agg(
+        F.coalesce(F.sum("up"), F.lit(0)).alias("links"),
+        F.count_if(F.col("up") + F.col("down") * F.least("up", F.lit(1)) > 1).alias("unsettled"),
+    ).first()
 
 
 def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:

@@ -54,12 +54,17 @@ def salted_join(
     by: list[str] | None = None,
     counts: DataFrame | None = None,
     floor: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Join on ``key`` (inner, left, left_semi or left_anti), splitting the hot keys of ``rows``.
 
-    ``by`` names the columns that tell rows of one key apart, ``counts`` the row count
-    per key if the caller has it already. Null keys match nothing, as in any equi join.
+    ``by`` names the columns that tell rows of one key apart, ``counts`` the row count per
+    key if the caller has it already, ``at_most`` a bound on the rows if it is known: few
+    rows have no hot key to look for. Null keys match nothing, as in any equi join.
     """
+    floor = HOT_FLOOR if floor is None else floor
+    if at_most is not None and at_most <= floor:
+        return rows.join(dim, key, how)
     counts = key_counts(rows, key) if counts is None else counts
     hot = hot_keys(counts, key, floor)
     if not hot:
