@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import chat, nearest
+from chatterscope.llm import chat, language, nearest, quality
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -27,6 +27,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Quality classifier
+
+QUALITY_BAR = 0.3
+QUALITY_FOLDS = 5
+LANGUAGE_FOLDS = 4
+
+
+def quality_model(documents: DataFrame, labels: DataFrame) -> quality.Model | None:
+    """Learned from the labels outside the held-out fold."""
+    open_ids = labels.filter(language.fold_of(F.col("doc_id"), QUALITY_FOLDS) != 0)
+    return quality.fit(documents, open_ids)
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    documents = table(spark, sf_dir, "documents")
+    model = quality_model(documents, table(spark, sf_dir, "labels"))
+    return quality.score(documents, model).select(
+        "doc_id",
+        (language.fold_of(F.col("doc_id"), QUALITY_FOLDS) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= QUALITY_BAR, 1).otherwise(0).alias("predicted"),
+    )
+
+
+# Language identification
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents."""
+    documents = table(spark, sf_dir, "documents")
+    fold = language.fold_of(F.col("doc_id"), LANGUAGE_FOLDS)
+    model = language.fit(documents.filter(fold != 2))
+    return language.predict(documents, model).select(
+        "doc_id", (fold == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 # Approximate nearest neighbours
 
 
