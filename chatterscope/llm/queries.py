@@ -6,10 +6,10 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import chat, language, nearest, quality
+from chatterscope.llm import chat, contamination, language, nearest, quality, secrets
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -164,3 +164,72 @@ SELECT conv_id, count(*) AS n_turns,
     sum(chars)::BIGINT AS formatted_chars
 FROM measured GROUP BY conv_id
 """
+
+
+# Secret scans
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents."""
+    documents = table(spark, sf_dir, "documents")
+    scanned = secrets.scan(documents, secrets.train(documents))
+
+    def count(kind: secrets.Kind) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind.name)).cast("long")
+
+    return scanned.select(
+        "doc_id",
+        count(secrets.ASSIGN).alias("n_assign"),
+        count(secrets.ACCESS).alias("n_access"),
+        count(secrets.HEX).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
+# Benchmark decontamination
+
+
+@query
+def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a part of a benchmark item."""
+    return contamination.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+# Any 13 aligned words with two replaced hold four in a row that are not.
+ORACLE["op8_contamination"] = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
+    FROM documents WHERE doc_id IS NOT NULL
+),
+b AS (
+    SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS item
+    FROM benchmark WHERE item_id IS NOT NULL
+),
+dg AS (
+    SELECT doc_id, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] || ' ' || words[p + 3] AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 2)) AS p FROM d)
+),
+bg AS (
+    SELECT item_id, q, item[q] || ' ' || item[q + 1] || ' ' || item[q + 2] || ' ' || item[q + 3] AS gram
+    FROM (SELECT item_id, item, unnest(range(1, len(item) - 2)) AS q FROM b WHERE len(item) >= 9)
+),
+diagonals AS (SELECT DISTINCT doc_id, item_id, p - q AS diagonal FROM dg JOIN bg USING (gram)),
+compared AS (
+    SELECT doc_id, item_id, diagonal, len(item) AS item_words, least(13, len(item)) AS size,
+        list_transform(range(1, len(item) + 1), lambda i:
+            CASE WHEN i + diagonal >= 1 AND words[i + diagonal] = item[i] THEN 1 ELSE 0 END) AS equal
+    FROM diagonals JOIN d USING (doc_id) JOIN b USING (item_id)
+),
+scored AS (
+    SELECT doc_id, item_id, item_words, size, list_sum(equal) AS matched,
+        list_max(list_transform(range(1, len(equal) - size + 2),
+            lambda i: list_sum(equal[i:i + size - 1]))) AS best
+    FROM compared
+)
+SELECT doc_id, item_id, max(matched)::INTEGER AS matched_words, arg_max(item_words, matched)::INTEGER AS item_words
+FROM scored WHERE best >= size - floor(2 * size / 13) GROUP BY doc_id, item_id
+"""
