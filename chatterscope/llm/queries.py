@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import chat, contamination, language, nearest, quality, secrets
+from chatterscope.llm import chat, contamination, language, nearest, pieces, quality, secrets
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -53,6 +53,66 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# SentencePiece encoding and decoding
+
+SEGMENTATIONS = 2
+
+
+def digests(encoded: DataFrame, path: str) -> DataFrame:
+    """doc_id, text, ids, scores and alternatives to figures of the segmentations."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pieces.load(path)
+        for batch in batches:
+            rows: dict[str, list] = {name: [] for name in PIECE_FIGURES}
+            texts, ids, scores, others = (batch.column(i) for i in range(1, 5))
+            for i in range(batch.num_rows):
+                best = ids[i].values.to_numpy()
+                points = scores[i].as_py()
+                second = [
+                    pieces.apply_edits(best, [(e["first"], e["drop"], e["ids"]) for e in edits])
+                    for edits in others[i].as_py()
+                ]
+                text = texts[i].as_py() or ""
+                rows["n_pieces"].append(len(best))
+                rows["score"].append(points[0])
+                rows["margin"].append(points[0] - points[1] if len(points) > 1 else None)
+                rows["n_best"].append(len(points))
+                rows["ids_sha256"].append(hashlib.sha256(best.astype("<i4").tobytes()).hexdigest())
+                rows["next_pieces"].append(len(second[0]) if second else None)
+                rows["round_trip"].append(vocabulary.decode(best) == text)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(rows[k], t) for k, t in PIECE_FIGURES.items()]],
+                ["doc_id", *PIECE_FIGURES],
+            )
+
+    return encoded.select("doc_id", "text", "ids", "scores", "alternatives").mapInArrow(
+        run,
+        "doc_id long, n_pieces long, score double, margin double, n_best int, ids_sha256 string, "
+        "next_pieces long, round_trip boolean",
+    )
+
+
+PIECE_FIGURES = {
+    "n_pieces": pa.int64(),
+    "score": pa.float64(),
+    "margin": pa.float64(),
+    "n_best": pa.int32(),
+    "ids_sha256": pa.string(),
+    "next_pieces": pa.int64(),
+    "round_trip": pa.bool_(),
+}
+
+
+@query
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best segmentations of all documents, and whether the best decodes to the text."""
+    path = f"{TOKENIZERS}/piece_bpe_32k.model"
+    documents = table(spark, sf_dir, "documents")
+    encoded = pieces.encode(documents, path, SEGMENTATIONS, keep=("doc_id", "text"))
+    return digests(encoded, path)
+
+
 # Language identification
 
 
