@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import chat, contamination, language, nearest, pieces, quality, secrets
+from chatterscope.llm import chat, contamination, language, nearest, pieces, quality, secrets, similar
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -27,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# N-gram Jaccard join
+
+
+@query
+def op1_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 85 % of their 4-word shingles."""
+    return similar.groups(table(spark, sf_dir, "documents"), similar.Rule(words=4, percent=85))
+
+
 # Quality classifier
 
 QUALITY_BAR = 0.3
