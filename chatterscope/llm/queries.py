@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import chat, contamination, language, nearest, pieces, quality, secrets, similar
+from chatterscope.llm import chat, contamination, language, nearest, passages, pieces, quality, secrets, similar
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -302,3 +302,49 @@ scored AS (
 SELECT doc_id, item_id, max(matched)::INTEGER AS matched_words, arg_max(item_words, matched)::INTEGER AS item_words
 FROM scored WHERE best >= size - floor(2 * size / 13) GROUP BY doc_id, item_id
 """
+
+
+# Substring dedup
+
+
+@query
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows that start earlier."""
+    kept = passages.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+ORACLE["op10_passages"] = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+starts AS (
+    SELECT doc_id, unnest(range(1, len(words) - 18)) AS p, words FROM w
+),
+windows AS (
+    SELECT doc_id, p, md5(array_to_string(words[p:p + 19], ' ')) AS h FROM starts
+),
+late AS (
+    SELECT doc_id, p FROM (
+        SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS k FROM windows
+    ) WHERE k > 1
+),
+gone AS (
+    SELECT DISTINCT doc_id, p + i AS p FROM late, range(20) t(i)
+),
+listed AS (
+    SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+),
+each AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w
+),
+kept AS (
+    SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.p) AS text
+    FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.p = g.p GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
