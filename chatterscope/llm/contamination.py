@@ -34,24 +34,29 @@ def words_of(text: Column) -> Column:
 
 
 def seeds(words: Column, masks: Sequence[Sequence[int]] = MASKS) -> Column:
-    """Array of all seeds: those of the first mask by position, then those of the next."""
-    span = max(max(m) for m in masks) + 1
+    """The seeds that begin at each word, one of each mask; null for fewer words than a mask."""
+    span = _span(masks)
 
-    def of_mask(number: int, mask: Sequence[int], h: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(h) - (span - 1)),
-            lambda i: F.xxhash64(F.lit(number), *[F.element_at(h, i + o) for o in mask]),
-        )
+    def at(h: Column, i: Column) -> Column:
+        hashed = [F.xxhash64(F.lit(n), *[F.get(h, i + o) for o in m]) for n, m in enumerate(masks)]
+        return F.array(*hashed)
 
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
     return let(
-        hashed,
+        F.transform(words, lambda w: F.xxhash64(w)),
         lambda h: F.when(
-            F.size(h) >= span, F.concat(*[of_mask(n, m, h) for n, m in enumerate(masks)])
+            F.size(h) >= span,
+            F.transform(F.sequence(F.lit(0), F.size(h) - span), lambda i: at(h, i)),
         ),
     )
 
 
+def _each_seed(df: DataFrame, key: str, words: Column, masks: Sequence[Sequence[int]]) -> DataFrame:
+    """(key, at, seed): one row per word and mask. Nothing else goes through the expansion."""
+    return df.select(key, F.posexplode(seeds(words, masks)).alias("at", "_seeds")).select(
+        key, "at", F.explode("_seeds").alias("seed")
+    )
+
+
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
@@ -77,62 +82,57 @@ def overlaps(
         .filter(F.col("item_id").isNotNull())
         .distinct()
     )
-    places = len(masks)
-    wanted = items.select("item_id", "item", F.posexplode(seeds(F.col("item"), masks))).select(
-        "item_id",
-        (F.col("pos") % ((F.size("item") - _span(masks) + 1))).alias("at"),
-        F.col("col").alias("seed"),
-    )
-    wanted = wanted.distinct()
-    seen = (
-        documents.select("doc_id", seeds(words_of(F.col("text")), masks).alias("found"))
-        .filter(F.col("doc_id").isNotNull() & F.col("found").isNotNull())
-        .select("doc_id", (F.size("found") / places).cast("int").alias("n"), F.posexplode("found"))
-        .select("doc_id", "n", "pos", F.col("col").alias("seed"))
-    )
+    wanted = _each_seed(items, "item_id", F.col("item"), masks).distinct()
+    wanted = wanted.withColumnRenamed("at", "item_at")
+    named = documents.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
+    seen = _each_seed(named, "doc_id", words_of(F.col("text")), masks)
     hits = cut_lineage(
         seen.join(_bounded(wanted, wanted.count()), "seed")
-        .select("doc_id", "item_id", (F.col("pos") % F.col("n") - F.col("at")).alias("diagonal"))
+        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
         .distinct()
     )
     n_hits = hits.count()
     pairs = hits.join(_bounded(items, items.count()), "item_id")
+    # Bound by lambdas: what Spark merged into them would be evaluated for each word.
+    size = F.least(F.lit(window), F.size("item"))
+    measured = let(
+        words_of(F.col("text")),
+        lambda words: let(_equal_words(words), lambda equal: _measured(equal, size)),
+    )
     compared = (
         documents.select("doc_id", "text")
         .join(_bounded(pairs, n_hits), "doc_id")
-        .select("doc_id", "item_id", "item", "diagonal", words_of(F.col("text")).alias("words"))
-        .select(
-            "doc_id", "item_id", F.size("item").alias("item_words"), _equal_words().alias("equal")
-        )
-    )
-    size = F.least(F.lit(window), F.size("equal"))
-    allowed = F.floor(F.lit(substituted) * size / F.lit(window))
-    best = F.array_max(
-        F.transform(
-            F.sequence(F.lit(1), F.size("equal") - size + 1),
-            lambda i: F.aggregate(F.slice("equal", i, size), F.lit(0), lambda a, x: a + x),
-        )
+        .select("doc_id", "item_id", size.alias("size"), F.size("item").alias("item_words"), measured.alias("m"))
+        .select("doc_id", "item_id", "size", "item_words", "m.best", "m.matched_words")
     )
-    total = F.aggregate("equal", F.lit(0), lambda a, x: a + x)
+    allowed = F.floor(F.lit(substituted) * F.col("size") / F.lit(window))
     return (
-        compared.filter(best >= size - allowed)
-        .groupBy("doc_id", "item_id", "item_words")
-        .agg(F.max(total).alias("matched_words"))
+        compared.filter(F.col("best") >= F.col("size") - allowed)
         .groupBy("doc_id", "item_id")
         .agg(F.max(F.struct("matched_words", "item_words")).alias("best"))
         .select("doc_id", "item_id", "best.matched_words", "best.item_words")
     )
 
 
+def _measured(equal: Column, size: Column) -> Column:
+    """The equal words of the best stretch of ``size`` words, and of the whole diagonal."""
+    stretch = F.transform(
+        F.sequence(F.lit(1), F.size(equal) - size + 1),
+        lambda i: F.aggregate(F.slice(equal, i, size), F.lit(0), lambda a, x: a + x),
+    )
+    total = F.aggregate(equal, F.lit(0), lambda a, x: a + x)
+    return F.struct(F.array_max(stretch).alias("best"), total.alias("matched_words"))
+
+
 def _span(masks: Sequence[Sequence[int]]) -> int:
     return max(max(m) for m in masks) + 1
 
 
-def _equal_words() -> Column:
+def _equal_words(words: Column) -> Column:
     """1 or 0 for each word of the item: whether the document has it at that place."""
     return F.transform(
         F.col("item"),
-        lambda w, i: F.when(F.get(F.col("words"), F.col("diagonal") + i) == w, 1).otherwise(0),
+        lambda w, i: F.when(F.get(words, F.col("diagonal") + i) == w, 1).otherwise(0),
     )
 
 

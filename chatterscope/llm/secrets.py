@@ -114,9 +114,14 @@ def ordered(spans: Column) -> Column:
 def long_words(text: Column, base: Column) -> Column:
     """Runs of key characters that touch none of the ``base`` spans."""
     found = find(F.coalesce(text, F.lit("")), LEARNED, len(BASE))
-    return F.filter(
-        found,
-        lambda s: ~F.exists(base, lambda b: (b["first"] < s["last"]) & (s["first"] < b["last"])),
+    return let(
+        base,
+        lambda known: F.filter(
+            found,
+            lambda s: ~F.exists(
+                known, lambda b: (b["first"] < s["last"]) & (s["first"] < b["last"])
+            ),
+        ),
     )
 
 
