@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import chat, contamination, language, nearest, passages, pieces, quality, secrets, similar
+from chatterscope.llm import chat, contamination, language, nearest, passages, pieces, quality, secrets, similar, substrings
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -304,6 +304,18 @@ FROM scored WHERE best >= size - floor(2 * size / 13) GROUP BY doc_id, item_id
 """
 
 
+# Suffix-array dedup
+
+
+@query
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of strings that occur in earlier documents."""
+    kept = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 # Substring dedup
 
 
