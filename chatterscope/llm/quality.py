@@ -205,27 +205,33 @@ def fit(
 
 
 def score(
-    documents: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
+    documents: DataFrame,
+    model: Model | None,
+    keep: tuple[str, ...] = ("doc_id",),
+    text: str = "text",
+    name: str = "score",
 ) -> DataFrame:
-    """The columns ``keep``, then score (0 to 1, higher: label 1 likelier) of each whole text.
+    """The columns ``keep``, then ``name``: a score (0 to 1, higher: label 1 likelier) of each
+    whole text.
 
     Every row gets a score: a null or empty text that of texts without words, and where
     there is no model each text 0.5. Repeated rows score alike; an empty table gives none.
     """
-    rows = documents.select(*keep, F.col(text).alias("_text"))
     if model is None:
-        return rows.select(*keep, F.lit(0.5).alias("score"))
+        return documents.select(*keep, F.lit(0.5).alias(name))
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    n = len(keep)
+    columns = keep if text in keep else (*keep, text)
+    at, n = columns.index(text), len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
-            for row, end, counts in term_counts(batch.column(n)):
+            for row, end, counts in term_counts(batch.column(at)):
                 scores[row:end] = fitted.score(counts)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:n], pa.array(scores)], [*batch.schema.names[:n], "score"]
+                [*batch.columns[:n], pa.array(scores)], [*batch.schema.names[:n], name]
             )
 
-    return rows.mapInArrow(run, documents.select(*keep).schema.add("score", "double"))
+    schema = documents.select(*keep).schema.add(name, "double")
+    return documents.select(*columns).mapInArrow(run, schema)

@@ -1,6 +1,90 @@
-"""Pipeline."""
+"""The corpus pipeline: from raw documents to piece ids of clean, distinct, fair ones.
+
+Each stage works on all rows that the one before it left and gives the columns of documents,
+the last one the encoded texts. ``run`` writes each stage's rows to the shared folder and
+reads them again, so nothing is computed twice and a lost executor costs one stage at most.
+"""
+
 from __future__ import annotations
-STAGES=[]
-ORACLE_SQL=None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chatterscope.llm import contamination, pieces, quality, secrets, similar
+from chatterscope.llm.queries import (
+    QUALITY_BAR,
+    SEGMENTATIONS,
+    TOKENIZERS,
+    quality_model,
+    table,
+)
+from chatterscope.llm.texts import fresh
+from chatterscope.plans.lineage import scratch_path
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score reaches the bar; the labels teach it."""
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    name = fresh("_quality", docs.columns)
+    scored = quality.score(docs, model, keep=tuple(docs.columns), name=name)
+    return scored.filter(F.col(name) >= QUALITY_BAR).select(*docs.columns)
+
+
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its 5-word shingles."""
+    return similar.without_similar(docs, similar.Rule(words=5, percent=80))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a part of a benchmark item."""
+    return contamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their secrets masked; n_chars follows the text."""
+    clean = secrets.redact(docs, secrets.train(docs))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.char_length("text").cast(kind))
+    return clean
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, and the pieces of the best segmentation with its score."""
+    encoded = pieces.encode(
+        docs, f"{TOKENIZERS}/piece_bpe_32k.model", SEGMENTATIONS, keep=("doc_id", "lang", "source")
+    )
+    return encoded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.get("scores", F.lit(0)).alias("score"),
+        "ids",
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_quality),
+    ("similar", keep_one_of_similar),
+    ("benchmark", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("pieces", encode_pieces),
+]
+
+# A fitted classifier, Markov models and a segmentation search are no SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
