@@ -208,20 +208,19 @@ def predict(
     model; a text of letters that the model knows nothing of takes the first language, by
     name, with the score of a guess. Ties go to the first language by name.
     """
-    spark = documents.sparkSession
-    rows = documents.select(*keep, F.col(text).alias("_text"))
     if model is None:
-        return rows.select(
+        return documents.select(
             *keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
         )
-    shared = spark.sparkContext.broadcast(model)
-    n = len(keep)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    columns = keep if text in keep else (*keep, text)
+    at, n = columns.index(text), len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, memory = shared.value, {}
         names = np.array([*fitted.languages, UNKNOWN], object)
         for batch in batches:
-            column = batch.column(n)
+            column = batch.column(at)
             sums = score_texts(fitted, column, memory)
             best = sums.argmax(1) if len(sums) else np.zeros(0, np.int64)
             chance = np.exp(sums - sums.max(1, initial=-np.inf)[:, None])
@@ -234,8 +233,8 @@ def predict(
                 [*batch.schema.names[:n], "lang_pred", "score"],
             )
 
-    kept = documents.select(*keep).schema
-    return rows.mapInArrow(run, kept.add("lang_pred", "string").add("score", "double"))
+    schema = documents.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    return documents.select(*columns).mapInArrow(run, schema)
 
 
 def fold_of(column: Column, folds: int) -> Column:

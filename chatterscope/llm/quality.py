@@ -4,7 +4,7 @@ A text is a bag of terms: runs of three character classes, words by hash, and wh
 look like as a whole (how many, how varied, how long). The bag is weighted (log count, inverse
 document frequency), made unit length and projected on the leading singular vectors of a
 bounded labelled sample. The sample's vectors are broadcast (``sample_docs`` times ``rank``
-floats at most); each document meets all of them in blocked products, which give the exact
+doubles at most); each document meets all of them in blocked products, which give the exact
 cosines, and its ``neighbours`` nearest vote with their similarity as weight.
 """
 
@@ -117,15 +117,16 @@ class Model:
     power: float
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        return _unit(_weighted(counts, self.idf) @ self.projection)
+        return _unit(_weighted(counts, self.idf).astype(np.float64) @ self.projection)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest labelled texts."""
-        near = self.latent(counts) @ self.vectors.T
+        # Rounded, as a product's last digits depend on the block it is computed in.
+        near = np.round(self.latent(counts) @ self.vectors.T, 9)
         k = min(self.neighbours, near.shape[1])
         chosen = np.argpartition(-near, k - 1, axis=1)[:, :k]
         weight = np.clip(np.take_along_axis(near, chosen, 1), 1e-6, None) ** self.power
-        return (weight * self.labels[chosen]).sum(1) / weight.sum(1)
+        return np.round((weight * self.labels[chosen]).sum(1) / weight.sum(1), 9)
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -193,11 +194,11 @@ def fit(
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 0.1
     x = _weighted(counts, idf)
     _, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-    projection = vectors[:, ::-1][:, : min(rank, len(counts))].astype(np.float32)
+    projection = vectors[:, ::-1][:, : min(rank, len(counts))].copy()
     return Model(
         idf,
         projection,
-        _unit(x @ projection),
+        _unit(x.astype(np.float64) @ projection),
         np.array([r["label"] for r in rows], np.float64),
         neighbours,
         power,

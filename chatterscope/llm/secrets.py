@@ -225,10 +225,11 @@ def scan(
     is (kind, rank, first, last, value). Null and empty texts have none, repeated rows have
     the same, an empty table gives no rows. Without a model only the known shapes are found.
     """
-    rows = documents.select(*keep, F.col("text").alias("_text"))
-    rows = rows.select(*keep, "_text", base_spans(F.col("_text")).alias("base"))
+    text = fresh("_text", documents.columns)
+    rows = documents.select(*keep, F.col("text").alias(text))
+    rows = rows.select(*keep, text, base_spans(F.col(text)).alias("base"))
     return rows.select(
-        *keep, "base", secrets_of(F.col("_text"), F.col("base"), model).alias("secrets")
+        *keep, "base", secrets_of(F.col(text), F.col("base"), model).alias("secrets")
     )
 
 
