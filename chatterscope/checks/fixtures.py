@@ -66,18 +66,14 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of the customers in credit; authors without one get the placeholder."""
+    """Profiles of all customers; the first authors have none and get the placeholder."""
     key = F.col("c_custkey")
-    return (
-        table(spark, sf_dir, "customer")
-        .filter(F.col("c_acctbal") > 0)
-        .select(
-            key.alias("id"),
-            F.concat(F.lit("user"), key.cast("string")).alias("username"),
-            ((key * 13) % 1000).alias("followers"),
-            ((key * 7) % 500).alias("following"),
-            (key * 3).alias("total_posts"),
-        )
+    return table(spark, sf_dir, "customer").select(
+        (key + 25).alias("id"),
+        F.concat(F.lit("user"), (key + 25).cast("string")).alias("username"),
+        ((key * 13) % 1000).alias("followers"),
+        ((key * 7) % 500).alias("following"),
+        (key * 3).alias("total_posts"),
     )
 
 
@@ -97,6 +93,7 @@ def payload_pages(posts: DataFrame, users: DataFrame, per_page: int = 100) -> Da
         F.col("text"),
         F.col("ts").cast("timestamp").alias("created_at"),
         F.col("author_id"),
+        F.col("lang"),
         F.struct(
             F.col("likes").try_cast("int").alias("like_count"),
             F.col("retweets").try_cast("int").alias("retweet_count"),

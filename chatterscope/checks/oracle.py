@@ -44,10 +44,10 @@ posts AS (
 
 USERS = """
 users AS (
-  SELECT c_custkey AS id, 'user' || CAST(c_custkey AS VARCHAR) AS username,
+  SELECT c_custkey + 25 AS id, 'user' || CAST(c_custkey + 25 AS VARCHAR) AS username,
     (c_custkey * 13) % 1000 AS followers, (c_custkey * 7) % 500 AS following,
     c_custkey * 3 AS total_posts
-  FROM customer WHERE c_acctbal > 0
+  FROM customer
 )"""
 
 
@@ -234,10 +234,7 @@ edges AS (
   FROM links GROUP BY src, dst
 )"""
     titled = "SELECT *, types || ' (' || CAST(weight AS VARCHAR) || ' times)' AS title FROM "
-    kept = (
-        f"kept AS (SELECT id FROM ({degree('edges')}) WHERE degree >= 2"
-        f" OR (SELECT count(*) FROM ({degree('edges')})) <= 100)"
-    )
+    kept = f"kept AS (SELECT id FROM ({degree('edges')}) WHERE degree >= 2)"
     pruned = (
         "pruned AS (SELECT * FROM edges WHERE src IN (SELECT id FROM kept)"
         " AND dst IN (SELECT id FROM kept))"
@@ -299,13 +296,32 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
         f"CAST({integer('p.' + m)} AS VARCHAR) AS {m}" for m in schema.METRICS
     )
     search = _strings(schema.SEARCH_HASHTAGS)
+    seconds = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+    # Dictionaries of all words of the documents, and a feed that holds posts twice.
+    known = (
+        f"known AS (SELECT DISTINCT unnest({words(clean('text'))}) AS word FROM documents)"
+    )
+    feed = f"feed AS (SELECT * FROM posts UNION ALL SELECT * FROM posts WHERE {engaged})"
+    large_hits = (
+        "hits AS (SELECT post_id, avg(((length(word) * 7) % 21 - 10) / 10.0 * CASE WHEN i > 1"
+        f" AND w[i - 1] IN ({_strings(schema.NEGATORS)}) THEN -0.5 ELSE 1.0 END) AS score"
+        " FROM positions JOIN known ON known.word = w[i] GROUP BY post_id)"
+    )
+    large_places = (
+        places.replace("places AS", "few AS", 1)
+        + ", places AS (SELECT * FROM few UNION ALL SELECT '#' || word, 'at ' || word,"
+        " CAST(length(word) AS DOUBLE), CAST(-length(word) AS DOUBLE) FROM known"
+        " UNION ALL SELECT '#AI', 'Lab', 1.0, 2.0)"
+    )
 
     return {
         "csv_roundtrip": query(
-            "SELECT post_id, text, author_id, username, likes, retweets, replies, quotes FROM posts"
+            f"SELECT post_id, text, {seconds} AS ts, author_id, username, likes, retweets, replies,"
+            " quotes, lang FROM posts"
         ),
         "flatten_payload": query(
-            f"SELECT p.post_id, p.text, p.author_id, {payload_metrics}, {user_columns}"
+            f"SELECT p.post_id, p.text, {seconds} AS ts, p.author_id, p.lang, {payload_metrics},"
+            f" {user_columns}"
             " FROM posts p LEFT JOIN users u ON u.id = p.author_id",
             USERS,
         ),
@@ -329,7 +345,6 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             "SELECT post_id, author_id, text FROM posts WHERE lang = 'en'"
             " AND NOT starts_with(text, 'RT @') AND list_has_any(list_transform("
             f"{names_after('text', '#')}, lambda h: lower(h)), [{search}])"
-            " ORDER BY ts DESC, post_id DESC LIMIT 100"
         ),
         "clean_text_ascii": per_post(clean("text", True)),
         "clean_text_unicode": per_post(clean("text")),
@@ -357,6 +372,21 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
         "sentiment_score": query(
             "SELECT post_id, round(score, 9) AS score FROM scored", *sentiment
         ),
+        "sentiment_large_lexicon": query(
+            "SELECT f.post_id, round(coalesce(score, 0), 9) AS score FROM feed f"
+            " LEFT JOIN hits USING (post_id)",
+            cleaned, known, feed, positions, large_hits,
+        ),
+        "lemmatize_large": query(
+            f"SELECT post_id, {joined('list_transform(w, lambda x: x || chr(115))')} AS value FROM"
+            f" (SELECT post_id, {words('clean_text')} AS w FROM (SELECT *, {clean('text')}"
+            " AS clean_text FROM feed))",
+            feed,
+        ),
+        "post_location_large": query(
+            "SELECT p.* FROM feed f JOIN placed p ON p.post_id = f.post_id",
+            known, feed, large_places, placed,
+        ),
         "sentiment_labels": query("SELECT post_id, sentiment FROM scored", *sentiment),
         "sentiment_distribution": query(
             "SELECT sentiment, count(*) AS n FROM scored GROUP BY sentiment", *sentiment

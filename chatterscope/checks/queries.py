@@ -54,9 +54,13 @@ def spaced(tokens):
 # Sources and sinks
 
 
+def seconds():
+    return F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
+
+
 def _shown(p: DataFrame) -> DataFrame:
     metric_columns = [F.col(m) for m in schema.METRICS]
-    return p.select("post_id", "text", "author_id", "username", *metric_columns)
+    return p.select("post_id", "text", seconds(), "author_id", "username", *metric_columns, "lang")
 
 
 @query
@@ -72,7 +76,7 @@ def flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = fixtures.payload_pages(fixtures.posts(spark, sf_dir), fixtures.users(spark, sf_dir))
     pages.write.text(path)
     flat = sources.load_posts(spark, path, "payload")
-    return flat.drop("ts")
+    return flat.withColumn("ts", seconds())
 
 
 @query
@@ -102,9 +106,18 @@ on_posts(
     lambda p: engagement.coerce_metrics(p).select("post_id", *schema.CHART_METRICS),
 )
 on_posts("engaged_posts", lambda p: engagement.engaged_posts(p).select("post_id", "username"))
-on_posts(
-    "search_posts", lambda p: tables.search_posts(p).select("post_id", "author_id", "text")
-)
+
+
+@query
+def search_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hits in a table that was loaded from API pages."""
+    path = scratch_path(spark, "payload")
+    pages = fixtures.payload_pages(fixtures.posts(spark, sf_dir), fixtures.users(spark, sf_dir))
+    pages.write.text(path)
+    hits = tables.search_posts(sources.load_posts(spark, path, "payload"))
+    return hits.select("post_id", "author_id", "text")
+
+
 per_post("clean_text_ascii", lambda: text.clean_text(F.col("text"), ascii_only=True))
 per_post("clean_text_unicode", lambda: text.clean_text(F.col("text")))
 per_post(
@@ -149,6 +162,62 @@ on_posts(
         "post_id", F.round("sentiment_score", 9).alias("score")
     ),
 )
+
+
+# Dictionaries of all words of the documents, over a feed that holds posts twice: the join routes.
+
+
+def known_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = fixtures.table(spark, sf_dir, "documents")
+    words = text.clean_tokens(text.clean_text(F.col("text")))
+    return documents.select(F.explode(words).alias("word")).distinct()
+
+
+def repeated_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixtures.posts(spark, sf_dir)
+    return p.unionAll(engagement.engaged_posts(p))
+
+
+@query
+def sentiment_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    polarity = (F.length("word") * 7 % 21 - 10) / 10
+    lexicon = known_words(spark, sf_dir).select("word", polarity.alias("polarity"))
+    scored = features.with_sentiment(repeated_feed(spark, sf_dir), lexicon)
+    return scored.select("post_id", F.round("sentiment_score", 9).alias("score"))
+
+
+@query
+def lemmatize_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the feed is in the dictionary, which adds an s."""
+    feed = repeated_feed(spark, sf_dir).select(
+        "post_id", text.clean_tokens(text.clean_text(F.col("text"))).alias("tokens")
+    )
+    known = known_words(spark, sf_dir).unionByName(
+        feed.select(F.explode("tokens").alias("word"))
+    ).distinct()
+    lemmas = known.select(F.col("word").alias("form"), F.concat("word", F.lit("s")).alias("lemma"))
+    return features.lemmatize(feed, lemmas).select("post_id", spaced("tokens").alias("value"))
+
+
+@query
+def post_location_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.length("word").cast("double")
+    places = (
+        known_words(spark, sf_dir)
+        .select(
+            F.concat(F.lit("#"), "word").alias("tag"),
+            F.concat(F.lit("at "), "word").alias("place"),
+            size.alias("lat"),
+            (-size).alias("lon"),
+        )
+        .unionByName(schema.places(spark))
+        .unionByName(spark.createDataFrame([("#AI", "Lab", 1.0, 2.0)], "tag string, place string, lat double, lon double"))
+    )
+    return features.with_place(repeated_feed(spark, sf_dir), places).select(
+        "post_id", "location_hashtag", "location_name", "latitude", "longitude"
+    )
+
+
 on_posts("sentiment_labels", lambda p: features.with_sentiment(p).select("post_id", "sentiment"))
 on_posts(
     "sentiment_distribution", lambda p: trends.sentiment_distribution(features.with_sentiment(p))

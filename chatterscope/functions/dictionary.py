@@ -2,8 +2,8 @@
 
 A dictionary (lexicon, lemmas, places) of checked size becomes one constant: an array
 of small maps, picked by the hash of the word. Looking a token up then needs neither a
-shuffle nor a Python worker, however many tokens a post has. ``plans.joins.lookup_tokens``
-takes the join route for dictionaries beyond the bound.
+shuffle nor a Python worker, however many tokens a post has. Callers join dictionaries beyond
+the bound instead, with the same result.
 """
 
 from __future__ import annotations

@@ -27,15 +27,19 @@ def polarity(
     right before a word turns its polarity around and halves it.
     """
 
-    def signed(all_items: Column, at: Column) -> Column:
-        before = word(F.get(all_items, at - 1))
-        sign = F.when(before.isin(list(negators)), NEGATION).otherwise(1.0)
-        return value(F.get(all_items, at)) * sign
+    def valued(all_items: Column) -> Column:
+        """The value of each item that has one, with its place: looked up once."""
+        all_values = F.transform(
+            all_items, lambda item, at: F.struct(at.alias("at"), value(item).alias("value"))
+        )
+        return F.filter(all_values, lambda v: v["value"].isNotNull())
+
+    def signed(all_items: Column, hit: Column) -> Column:
+        before = word(F.get(all_items, hit["at"] - 1))
+        return hit["value"] * F.when(before.isin(list(negators)), NEGATION).otherwise(1.0)
 
     def score(all_items: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(all_items) - 1)
-        hits = F.filter(places, lambda at: value(F.get(all_items, at)).isNotNull())
-        found = F.transform(hits, lambda at: signed(all_items, at))
+        found = F.transform(valued(all_items), lambda hit: signed(all_items, hit))
         mean = let(
             found,
             lambda f: F.aggregate(f, F.lit(0.0), lambda total, p: total + p)
@@ -46,6 +50,17 @@ def polarity(
     return let(items, score)
 
 
+def negated(words: Column, negators: Sequence[str] = NEGATORS) -> Column:
+    """Each word with whether a negator stands right before it."""
+    before = F.concat(F.array(F.lit("")), words)
+    return F.transform(
+        words,
+        lambda w, i: F.struct(
+            w.alias("token"), F.get(before, i).isin(list(negators)).alias("negated")
+        ),
+    )
+
+
 def _label(score: Column) -> Column:
     return (
         F.when(score > THRESHOLD, "Positive")

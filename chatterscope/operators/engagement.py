@@ -113,10 +113,17 @@ def key_metrics(scored: DataFrame, metrics: Sequence[str] = CHART_METRICS) -> Da
 def posts_with_users(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Posts with their author's profile, a placeholder where the author is unknown.
 
-    Of a user listed more than once one row wins. Prolific authors are salted.
+    Of a user listed more than once the row of most posts wins, then of most followers, most
+    followed, and the later name. Prolific authors are salted.
     """
     profile = ["username", "followers", "following", "total_posts"]
-    unique = users.dropDuplicates(["id"]).select(F.col("id").alias("author_id"), *profile)
+    rank = F.struct("total_posts", "followers", "following", "username")
+    unique = (
+        users.filter(F.col("id").isNotNull())
+        .groupBy(F.col("id").alias("author_id"))
+        .agg(F.max(rank).alias("best"))
+        .select("author_id", *[F.col(f"best.{c}").alias(c) for c in profile])
+    )
     kept = posts.select(*[c for c in posts.columns if c not in profile])
     joined = salted_join(kept, unique, "author_id", "left", by=["post_id"])
     missing = F.lit(MISSING)

@@ -14,7 +14,6 @@ from chatterscope.operators.ranking import count_by, explode_names, top
 from chatterscope.plans.joins import salted_join
 from chatterscope.plans.lineage import cut_lineage
 
-PRUNE_ABOVE = 100
 PRUNE_DEGREE = 2
 NODE_SIZE = 5.0
 NODE_SIZE_RANGE = 20.0
@@ -96,8 +95,9 @@ def interaction_edges(posts: DataFrame) -> DataFrame:
 
 
 def edge_posts(posts: DataFrame) -> DataFrame:
-    """(src, dst, post_id): the posts behind each edge, spread over the cluster by post."""
-    return interactions(posts).filter(F.col("first") == 1).select("src", "dst", "post_id").distinct()
+    """(src, dst, post_id): the posts behind each edge, one row per post as ``n_posts`` counts
+    them; a post that the table holds twice counts twice in both."""
+    return interactions(posts).filter(F.col("first") == 1).select("src", "dst", "post_id")
 
 
 def engagement_value_edges(posts: DataFrame) -> DataFrame:
@@ -149,20 +149,15 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     return edges.agg(vertices.alias("vertices"), F.count("*").alias("edges"))
 
 
-def kept_vertices(
-    edges: DataFrame, above: int = PRUNE_ABOVE, min_degree: int = PRUNE_DEGREE
-) -> DataFrame:
-    """Vertices left by one pruning pass; a graph of at most ``above`` vertices keeps all."""
-    all_degrees = degrees(edges)
-    size = all_degrees.agg(F.count("*")).scalar()
-    return all_degrees.filter((size <= above) | (F.col("degree") >= min_degree)).select("id")
+def kept_vertices(edges: DataFrame, min_degree: int) -> DataFrame:
+    """Vertices of at least ``min_degree`` links: one pruning pass, alike at every size."""
+    return degrees(edges).filter(F.col("degree") >= min_degree).select("id")
 
 
-def prune(
-    edges: DataFrame, above: int = PRUNE_ABOVE, min_degree: int = PRUNE_DEGREE
-) -> DataFrame:
-    """Edges between kept vertices. The edges are read several times, so pass kept ones."""
-    return between(edges, kept_vertices(edges, above, min_degree))
+def prune(edges: DataFrame, min_degree: int = PRUNE_DEGREE) -> DataFrame:
+    """Edges between vertices of at least ``min_degree`` links; those edges are read several
+    times, so pass kept ones."""
+    return between(edges, kept_vertices(edges, min_degree))
 
 
 def between(edges: DataFrame, kept: DataFrame) -> DataFrame:
@@ -173,11 +168,9 @@ def between(edges: DataFrame, kept: DataFrame) -> DataFrame:
     return left.select(*edges.columns)
 
 
-def interaction_nodes(
-    edges: DataFrame, above: int = PRUNE_ABOVE, min_degree: int = PRUNE_DEGREE
-) -> DataFrame:
+def interaction_nodes(edges: DataFrame, min_degree: int = PRUNE_DEGREE) -> DataFrame:
     """(id, degree, centrality, size, title) of the pruned graph, isolated vertices too."""
-    kept = cut_lineage(kept_vertices(edges, above, min_degree))
+    kept = cut_lineage(kept_vertices(edges, min_degree))
     left = kept.join(degrees(between(edges, kept)), "id", "left")
     nodes = _with_centrality(left.withColumn("degree", F.coalesce("degree", F.lit(0))))
     return nodes.select(

@@ -15,9 +15,10 @@ def search_posts(
     posts: DataFrame,
     hashtags: Sequence[str] = SEARCH_HASHTAGS,
     lang: str = "en",
-    k: int = 100,
+    k: int | None = None,
 ) -> DataFrame:
-    """Newest k posts of one language with any of the hashtags; reposts are left out."""
+    """Posts of one language with any of the hashtags, the newest ``k`` if it is given; reposts
+    are left out."""
     wanted = F.array(*[F.lit(h.lower()) for h in hashtags])
     tags = F.transform(extract_hashtags(F.col("text")), F.lower)
     hits = posts.filter(
@@ -25,7 +26,7 @@ def search_posts(
         & ~F.col("text").startswith("RT @")
         & F.arrays_overlap(tags, wanted)
     )
-    return hits.orderBy(F.desc("ts"), F.desc("post_id")).limit(k)
+    return hits if k is None else hits.orderBy(F.desc("ts"), F.desc("post_id")).limit(k)
 
 
 def merge_posts(first: DataFrame, *others: DataFrame) -> DataFrame:

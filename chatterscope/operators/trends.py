@@ -113,15 +113,17 @@ def _day_text(c: str):
 def hashtag_trends(posts: DataFrame, k: int = 5) -> DataFrame:
     """Daily counts of the k most used hashtags; days without one count 0.
 
-    The (day, hashtag) roll-up is kept, so that ranking and series read the texts once.
+    The (day, hashtag) roll-up is kept, so that ranking, series and the first and last day
+    read the texts once; a post without hashtags is there under a null one.
     """
     tags = posts.select(
         _day().alias("date"),
         F.explode_outer(text.extract_hashtags(F.col("text"))).alias("hashtag"),
-    ).filter(F.col("hashtag").isNotNull())
-    daily = cut_lineage(tags.groupBy("date", "hashtag").agg(F.count("*").alias("n")))
+    )
+    rollup = cut_lineage(tags.groupBy("date", "hashtag").agg(F.count("*").alias("n")))
+    daily = rollup.filter(F.col("hashtag").isNotNull())
     best = top(daily.groupBy("hashtag").agg(F.sum("n").alias("n")), "n", "hashtag", k=k)
-    span = posts.agg(F.struct(F.min(_day()).alias("first"), F.max(_day()).alias("last")))
+    span = rollup.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last")))
     calendar = best.select("hashtag", span.scalar().alias("span")).select(
         "hashtag", F.explode(F.sequence("span.first", "span.last")).alias("date")
     )

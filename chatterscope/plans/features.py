@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 from chatterscope import schema
 from chatterscope.functions import sentiment, text
-from chatterscope.functions.dictionary import inline_lookup
-from chatterscope.plans.joins import lookup_tokens
+from chatterscope.functions.dictionary import MAX_INLINE_ENTRIES, inline_lookup
+from chatterscope.plans.joins import (
+    CONTENT,
+    contents,
+    lookup_tokens,
+    salted_join,
+    values_of,
+    with_content,
+)
 
 
 def cleaned(posts: DataFrame) -> Column:
@@ -26,22 +33,48 @@ def with_sentiment(
     posts: DataFrame,
     lexicon: DataFrame | None = None,
     negators: Sequence[str] = schema.NEGATORS,
+    inline_limit: int = MAX_INLINE_ENTRIES,
 ) -> DataFrame:
-    """Add ``sentiment_score`` and ``sentiment`` from a (word, polarity) lexicon."""
+    """Add ``sentiment_score`` and ``sentiment`` from a (word, polarity) lexicon.
+
+    A lexicon of checked size is looked up inside the row, a larger one is joined.
+    """
     lexicon = schema.lexicon(posts.sparkSession) if lexicon is None else lexicon
-    scored = lookup_tokens(
-        posts.withColumn("_words", text.clean_tokens(cleaned(posts))),
-        "_words",
-        lexicon.select("word", F.col("polarity").cast("double").alias("polarity")),
-        "word",
-        "polarity",
-        "post_id",
+    lexicon = lexicon.select("word", F.col("polarity").cast("double").alias("polarity"))
+    worded = posts.withColumn("_words", text.clean_tokens(cleaned(posts)))
+    find = inline_lookup(lexicon, "word", inline_limit)
+    if find is not None:
+        score = sentiment.polarity(
+            F.col("_words"), lambda w: w, lambda w: find(w)["polarity"], negators
+        )
+        scored = worded.withColumn("sentiment_score", score)
+    else:
+        scored = _joined_sentiment(worded, lexicon, negators)
+    return scored.withColumn("sentiment", sentiment.label(F.col("sentiment_score"))).drop("_words")
+
+
+def _joined_sentiment(
+    worded: DataFrame, lexicon: DataFrame, negators: Sequence[str]
+) -> DataFrame:
+    """``sentiment_score`` by a join: each distinct list of words is counted by word and
+    whether a negator stands before, and comes back as a sum and a number of hits."""
+    named = with_content(worded, "_words")
+    counted = (
+        contents(named, "_words")
+        .withColumn("_items", sentiment.negated(F.col("_words"), negators))
+        .select(*CONTENT, F.inline("_items"))
+        .groupBy(*CONTENT, "token", "negated")
+        .agg(F.count("*").alias("n"))
+    )
+    found = salted_join(counted, values_of(lexicon, "word", "polarity"), "token", by=CONTENT)
+    sign = F.when(F.col("negated"), sentiment.NEGATION).otherwise(1.0)
+    means = found.groupBy(*CONTENT).agg(
+        (F.sum(F.col("value") * sign * F.col("n")) / F.sum("n")).alias("_mean")
     )
-    score = sentiment.polarity(F.col("_words"), scored.token, scored.value, negators)
     return (
-        scored.df.withColumn("sentiment_score", score)
-        .withColumn("sentiment", sentiment.label(F.col("sentiment_score")))
-        .drop("_words")
+        named.join(means, CONTENT, "left")
+        .withColumn("sentiment_score", F.coalesce("_mean", F.lit(0.0)))
+        .drop("_mean", *CONTENT)
     )
 
 
@@ -59,30 +92,40 @@ def with_tokens(
 
 def lemmatize(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Replace each token by its lemma; unknown forms stay as they are."""
-    found = lookup_tokens(df, tokens, lemmas, "form", "lemma", "post_id")
+    found = lookup_tokens(df, tokens, lemmas, "form", "lemma")
     return found.df.withColumn(
         tokens, F.transform(tokens, lambda t: F.coalesce(found.value(t), found.token(t)))
     )
 
 
-def first_place(hashtags: Column, places: DataFrame) -> Column:
-    """Struct (hashtag, place, lat, lon) of the first hashtag that names a place, else null."""
-    find = inline_lookup(places, "tag")
-    if find is None:
-        raise ValueError("too many places to look up per post; use operators.geo.city_mentions")
-    tagged = F.transform(
-        hashtags, lambda h: F.struct(h.alias("hashtag"), find(F.concat(F.lit("#"), h)).alias("at"))
-    )
-    return F.get(F.filter(tagged, lambda t: t["at"].isNotNull()), F.lit(0))
+PLACE = "struct<hashtag: string, at: struct<place: string, lat: double, lon: double>>"
+
 
+def with_place(
+    posts: DataFrame,
+    places: DataFrame | None = None,
+    inline_limit: int = MAX_INLINE_ENTRIES,
+) -> DataFrame:
+    """Add ``location_hashtag``, ``location_name``, ``latitude`` and ``longitude``: the place of
+    the first hashtag that names one.
 
-def with_place(posts: DataFrame, places: DataFrame | None = None) -> DataFrame:
-    """Add ``location_hashtag``, ``location_name``, ``latitude`` and ``longitude``."""
+    Places of checked number are looked up inside the row, more are joined.
+    """
     places = schema.places(posts.sparkSession) if places is None else places
+    places = places.select("tag", "place", "lat", "lon")
+    tagged = posts.withColumn("_tags", text.extract_hashtags(F.col("text")))
+    find = inline_lookup(places, "tag", inline_limit)
+    if find is not None:
+        named = F.transform(
+            F.col("_tags"),
+            lambda h: F.struct(h.alias("hashtag"), find(F.concat(F.lit("#"), h)).alias("at")),
+        )
+        first = F.get(F.filter(named, lambda t: t["at"].isNotNull()), F.lit(0)).cast(PLACE)
+        placed = tagged.withColumn("_place", first)
+    else:
+        placed = _joined_place(tagged, places)
     return (
-        posts.withColumn("_tags", text.extract_hashtags(F.col("text")))
-        .withColumn("_place", first_place(F.col("_tags"), places))
-        .withColumn("location_hashtag", F.col("_place.hashtag"))
+        placed.withColumn("location_hashtag", F.col("_place.hashtag"))
         .withColumn("location_name", F.col("_place.at.place"))
         .withColumn("latitude", F.col("_place.at.lat"))
         .withColumn("longitude", F.col("_place.at.lon"))
@@ -90,6 +133,23 @@ def with_place(posts: DataFrame, places: DataFrame | None = None) -> DataFrame:
     )
 
 
+def _joined_place(tagged: DataFrame, places: DataFrame) -> DataFrame:
+    """``_place`` by a join: each distinct list of hashtags meets the places once."""
+    known = places.select("tag", F.struct("place", "lat", "lon").alias("at"))
+    named = with_content(tagged, "_tags")
+    rows = contents(named, "_tags").select(*CONTENT, F.posexplode("_tags").alias("_pos", "hashtag"))
+    found = salted_join(
+        rows.withColumn("token", F.concat(F.lit("#"), "hashtag")),
+        values_of(known, "tag", "at"),
+        "token",
+        by=CONTENT,
+    )
+    first = found.groupBy(*CONTENT).agg(
+        F.min_by(F.struct("hashtag", F.col("value").alias("at")), "_pos").cast(PLACE).alias("_place")
+    )
+    return named.join(first, CONTENT, "left").drop(*CONTENT)
+
+
 def with_time(posts: DataFrame) -> DataFrame:
     """Add ``date``, ``hour`` and ``day_of_week`` (Sunday is 1)."""
     return posts.withColumns(

@@ -74,6 +74,26 @@ def salted_join(
     return joined.drop(SALT)
 
 
+CONTENT = ["_content_a", "_content_b"]
+
+
+def with_content(df: DataFrame, column: str) -> DataFrame:
+    """Add a 128-bit digest of an array column: rows of equal content meet under one key."""
+    digests = [F.xxhash64(F.lit(seed), column) for seed in range(len(CONTENT))]
+    return df.withColumns(dict(zip(CONTENT, digests, strict=True)))
+
+
+def contents(named: DataFrame, column: str) -> DataFrame:
+    """Each content once. The value is any row's, as all of one digest are equal."""
+    return named.filter(F.col(column).isNotNull()).select(*CONTENT, column).dropDuplicates(CONTENT)
+
+
+def values_of(entries: DataFrame, key: str, value: str) -> DataFrame:
+    """(token, value) without nulls; the smallest value of a repeated key wins."""
+    pairs = entries.select(F.col(key).alias("token"), F.col(value).alias("value")).dropna()
+    return pairs.groupBy("token").agg(F.min("value").alias("value"))
+
+
 @dataclass
 class Lookup:
     """A table whose token column was looked up: how to read an element's token and value."""
@@ -89,33 +109,32 @@ def lookup_tokens(
     entries: DataFrame,
     key: str,
     value: str,
-    row_id: str,
     inline_limit: int = MAX_INLINE_ENTRIES,
 ) -> Lookup:
     """Look each element of the array column ``tokens`` up in ``entries``.
 
-    A dictionary of checked size is looked up inside the row. A larger one is joined, hot
-    tokens salted, and each row's answers (never more than its own tokens) come back by
-    position, as (token, value) pairs; ``row_id`` must be unique then.
+    A dictionary of checked size is looked up inside the row. For a larger one each distinct
+    array is taken apart once, joined (hot tokens salted), and its answers, never more than
+    its own tokens, come back by position. Rows are told apart by what they hold, so ids may
+    repeat or be null, and both ways give the same.
     """
-    entries = entries.select(F.col(key).alias("token"), F.col(value).alias("value"))
-    find = inline_lookup(entries, "token", inline_limit)
+    pairs = entries.select(F.col(key).alias("token"), F.col(value).alias("value"))
+    find = inline_lookup(pairs, "token", inline_limit)
     if find is not None:
         return Lookup(df, lambda t: t, lambda t: find(t)["value"])
 
-    unique = entries.dropna().groupBy("token").agg(F.min("value").alias("value"))
-    rows = df.select(row_id, F.posexplode(tokens).alias("_pos", "token"))
-    found = salted_join(rows, unique, "token", "left", by=[row_id])
-    per_row = found.groupBy(row_id).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "token", "value"))).alias("_found")
-    )
-    answers = per_row.select(
-        row_id,
+    named = with_content(df, tokens)
+    rows = contents(named, tokens).select(*CONTENT, F.posexplode(tokens).alias("_pos", "token"))
+    found = salted_join(rows, values_of(entries, key, value), "token", "left", by=CONTENT)
+    answers = found.groupBy(*CONTENT).agg(
         F.transform(
-            "_found", lambda s: F.struct(s["token"].alias("token"), s["value"].alias("value"))
-        ).alias("_found"),
+            F.array_sort(F.collect_list(F.struct("_pos", "token", "value"))),
+            lambda s: F.struct(s["token"].alias("token"), s["value"].alias("value")),
+        ).alias("_found")
     )
     nothing = F.array().cast(answers.schema["_found"].dataType)
-    pairs = F.when(F.col(tokens).isNotNull(), F.coalesce("_found", nothing))
-    paired = df.join(answers, row_id, "left").withColumn(tokens, pairs).drop("_found")
-    return Lookup(paired, lambda pair: pair["token"], lambda pair: pair["value"])
+    looked_up = F.when(F.col(tokens).isNotNull(), F.coalesce("_found", nothing))
+    paired = named.join(answers, CONTENT, "left").withColumn(tokens, looked_up)
+    return Lookup(
+        paired.drop("_found", *CONTENT), lambda pair: pair["token"], lambda pair: pair["value"]
+    )

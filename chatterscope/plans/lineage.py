@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local-mode session without the setting gets a folder of its own.
+    A local session without the setting uses its warehouse folder.
     """
     named = spark.conf.get(SETTING, None)
     if named:
@@ -23,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="chatterscope-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

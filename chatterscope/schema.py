@@ -20,6 +20,7 @@ POST_SCHEMA = T.StructType(
         T.StructField("followers", T.StringType()),
         T.StructField("following", T.StringType()),
         T.StructField("total_posts", T.StringType()),
+        T.StructField("lang", T.StringType()),
     ]
 )
 
@@ -37,6 +38,7 @@ CSV_HEADER = {
     "followers": "Followers",
     "following": "Following",
     "total_posts": "Total_Tweets",
+    "lang": "Lang",
 }
 
 METRICS = ["likes", "retweets", "replies", "quotes"]

@@ -14,7 +14,7 @@ QUOTING = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 # One API page: posts, and the users they are by.
 PAYLOAD_SCHEMA = """
     data array<struct<
-        id: bigint, text: string, created_at: timestamp, author_id: bigint,
+        id: bigint, text: string, created_at: timestamp, author_id: bigint, lang: string,
         public_metrics: struct<
             like_count: int, retweet_count: int, reply_count: int, quote_count: int>>>,
     includes struct<users: array<struct<
@@ -101,6 +101,7 @@ def flatten_payload(pages: DataFrame) -> DataFrame:
         _text_or_missing(F.col("author.public_metrics.followers_count")).alias("followers"),
         _text_or_missing(F.col("author.public_metrics.following_count")).alias("following"),
         _text_or_missing(F.col("author.public_metrics.tweet_count")).alias("total_posts"),
+        F.col("post.lang").alias("lang"),
     )
 
 
@@ -114,8 +115,12 @@ def load_posts(spark: SparkSession, path: str, source: str = "parquet") -> DataF
 
 
 def write_posts(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write Parquet by day, so that time filters prune whole folders."""
-    by_day = df.withColumn("day", F.to_date("ts"))
+    """Write Parquet by day, so that time filters prune whole folders.
+
+    A day's rows meet before the write; Spark splits days that are large and joins small
+    ones, so the number of files follows the size of the days.
+    """
+    by_day = df.withColumn("day", F.to_date("ts")).hint("rebalance", "day")
     by_day.write.mode(mode).partitionBy("day").parquet(path)
 
 

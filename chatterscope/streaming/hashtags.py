@@ -31,10 +31,16 @@ def hashtag_words(lines: DataFrame) -> DataFrame:
 
 
 def parquet_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer: each batch has its own folder, so a batch that is run again replaces itself."""
+    """Batch writer: each batch has its own folder, so a batch that is run again replaces itself.
+
+    A batch without hashtags writes nothing.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+        found = batch.persist()
+        if not found.isEmpty():
+            found.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+        found.unpersist()
 
     return write
 

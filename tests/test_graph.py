@@ -171,11 +171,11 @@ def test_label_propagation_by_brute_force(spark, monkeypatch, hot):
 
 def test_prune_is_one_pass(spark):
     chain = edge_table(spark, [(1, 2), (2, 3), (3, 4), (4, 5)])
-    assert graph.prune(chain).count() == 4
-    left = {(r["src"], r["dst"]) for r in graph.prune(chain, above=3).collect()}
+    assert graph.prune(chain, min_degree=1).count() == 4
+    left = {(r["src"], r["dst"]) for r in graph.prune(chain).collect()}
     assert left == {(2, 3), (3, 4)}
     nodes = {r["id"]: (r["degree"], r["size"]) for r in graph.interaction_nodes(chain.select(
-        F.col("src").cast("string"), F.col("dst").cast("string")), above=3).collect()}
+        F.col("src").cast("string"), F.col("dst").cast("string"))).collect()}
     assert nodes == {"2": (1, 15.0), "3": (2, 25.0), "4": (1, 15.0)}
 
 
@@ -224,7 +224,7 @@ def test_prolific_author(spark, monkeypatch):
         F.col("id").alias("post_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("author_id")
     )
     users = spark.createDataFrame(
-        [(1, "ann", 5, 6, 7), (1, "ann", 5, 6, 7), (4, "bob", 1, 2, 3)],
+        [(1, "ann", 5, 6, 7), (1, "old", 5, 6, 1), (4, "bob", 1, 2, 3), (None, "x", 1, 1, 1)],
         "id long, username string, followers long, following long, total_posts long",
     )
     joined = engagement.posts_with_users(posts, users)

@@ -30,6 +30,12 @@ def test_batch_written_again_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "batch=3")).count() == 1
 
 
+def test_empty_batch_writes_nothing(spark, tmp_path):
+    write = streams.parquet_batches(str(tmp_path / "out"))
+    write(spark.createDataFrame([], "hashtag string"), 1)
+    assert not (tmp_path / "out").exists()
+
+
 def posts_file(spark, folder, name, rows):
     df = spark.createDataFrame(rows, "ts timestamp, text string")
     df.coalesce(1).write.mode("append").parquet(str(folder / name))

@@ -95,17 +95,21 @@ SCORED = {
 
 
 def test_sentiment_score_inline_and_joined(spark, monkeypatch):
-    df = spark.createDataFrame(list(enumerate(SCORED)), "post_id long, text string")
+    # Ids repeat and are null: rows are told apart by what they hold.
+    rows = [(None if i % 3 else 1, t) for i, t in enumerate(SCORED)] * 2
+    df = spark.createDataFrame(rows, "post_id long, text string")
 
     def scores():
-        return {r["text"]: r["sentiment_score"] for r in features.with_sentiment(df).collect()}
+        found = features.with_sentiment(df).collect()
+        assert len(found) == len(rows)
+        return {r["text"]: r["sentiment_score"] for r in found}
 
     inline = scores()
     assert inline == pytest.approx(SCORED)
     from chatterscope.plans import joins
 
     # A dictionary beyond the bound, every key hot: the join route must agree.
-    monkeypatch.setattr(joins, "inline_lookup", lambda entries, key, limit: None)
+    monkeypatch.setattr(features, "inline_lookup", lambda entries, key, limit: None)
     monkeypatch.setattr(joins, "HOT_FLOOR", 0)
     assert scores() == pytest.approx(SCORED)
 
@@ -113,10 +117,13 @@ def test_sentiment_score_inline_and_joined(spark, monkeypatch):
 def test_lemmatize_joined(spark, monkeypatch):
     from chatterscope.plans import joins
 
-    df = spark.createDataFrame([(1, ["tags", "x", "tags"]), (2, [])], "post_id long, tokens array<string>")
+    rows = [(1, ["tags", "x", "tags"]), (1, []), (None, ["x"]), (None, None), (1, ["tags", "x", "tags"])]
+    df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
+    inline = features.lemmatize(df, schema.lemmas(spark)).collect()
     monkeypatch.setattr(joins, "inline_lookup", lambda entries, key, limit: None)
-    rows = features.lemmatize(df, schema.lemmas(spark)).orderBy("post_id").collect()
-    assert [r["tokens"] for r in rows] == [["tag", "x", "tag"], []]
+    joined = features.lemmatize(df, schema.lemmas(spark)).collect()
+    assert sorted(map(str, joined)) == sorted(map(str, inline))
+    assert [r["tokens"] for r in joined].count(["tag", "x", "tag"]) == 2
 
 
 def test_labels(spark):
@@ -139,7 +146,9 @@ def test_place_of_first_matching_tag(spark):
     df = spark.createDataFrame(
         [(1, "#x #Bombay #NYC"), (2, "#nyc"), (3, None)], "post_id long, text string"
     )
+    joined = features.with_place(df.unionAll(df), inline_limit=0).distinct().orderBy("post_id")
     rows = features.with_place(df).orderBy("post_id").collect()
+    assert joined.collect() == rows
     assert (rows[0]["location_hashtag"], rows[0]["location_name"]) == ("Bombay", "Mumbai")
     assert (rows[0]["latitude"], rows[0]["longitude"]) == (19.076, 72.8777)
     assert rows[1]["location_name"] is None and rows[2]["latitude"] is None
