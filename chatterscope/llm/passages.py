@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterscope.llm import texts
-from chatterscope.llm.rows import doc_id, keyed, leads, with_runs
+from chatterscope.llm.rows import doc_id, keyed, leads, packed, unpacked, with_runs
 
 
 @dataclass(frozen=True)
@@ -101,14 +101,15 @@ def _phrases(rows: DataFrame, rule: Rule) -> DataFrame:
     return rows.select("digest", "text").mapInArrow(run, "phrase long, digest long, n int")
 
 
-def _units(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+def _units(whole: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """(phrase, unit, id, digest, start, n, windows) of all occurrences of recurring phrases."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, digests = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             recurring = batch.column(3)
-            for row, end, data, offsets in texts.chunks(batch.column(2)):
+            column = pa.array(unpacked(batch.column(2)), pa.large_binary())
+            for row, end, data, offsets in texts.chunks(column):
                 found = texts.words(data, offsets)
                 chosen = choose(found.hashes, found.offsets, rule)
                 phrases = np.unique(
@@ -119,7 +120,7 @@ def _units(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                 if out is not None:
                     yield out
 
-    joined = rows.join(wanted, ["id", "digest"]).select("id", "digest", "text", "phrases")
+    joined = whole.join(wanted, ["id", "digest"]).select("id", "digest", "packed", "phrases")
     return joined.mapInArrow(
         run,
         "phrase long, unit long, id long, digest long, start int, n int, windows binary",
@@ -291,17 +292,18 @@ def without_repeats(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .agg(F.collect_set("phrase").alias("phrases"))
         .join(first, "digest")
     )
-    runs = _repeats(_units(rows, wanted, rule)).select(
+    whole = packed(rows)
+    runs = _repeats(_units(whole, wanted, rule)).select(
         "id", "digest", "start", (F.col("n") + (rule.window - 1)).alias("size")
     )
-    joined = with_runs(rows, runs, copies)
+    joined = with_runs(whole, runs, copies)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, total, removed = [], [], []
-            found = zip(*(batch.column(i) for i in (1, 2, 3)), strict=True)
+            found = zip(unpacked(batch.column(1)), batch.column(2), batch.column(3), strict=True)
             for text, copy, runs in found:
-                words = text.as_py().encode().split()
+                words = text.split()
                 total.append(len(words))
                 gone = np.zeros(len(words) + 1, np.int64)
                 if copy.as_py() and len(words) >= rule.window:

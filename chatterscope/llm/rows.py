@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,32 @@ def keyed(documents: DataFrame) -> DataFrame:
     )
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """(id, digest, packed): the texts compressed, for those that are dealt out whole."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        shrink = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [shrink(t.as_py().encode()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(texts, pa.binary())], ["id", "digest", "packed"]
+            )
+
+    return rows.select("id", "digest", "text").mapInArrow(
+        run, "id long, digest long, packed binary"
+    )
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    """The texts of a column of packed ones, as UTF-8."""
+    import zstandard
+
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(t.as_py()) for t in column]
+
+
 def doc_id() -> Column:
     return F.when(F.col("id") != LEAST_ID, F.col("id")).alias("doc_id")
 
@@ -32,8 +61,8 @@ def leads(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, small.join(lead, "digest").filter("lead < id").select("id", "digest")
 
 
-def with_runs(rows: DataFrame, runs: DataFrame, copies: DataFrame) -> DataFrame:
-    """(id, text, copy, runs): each row's (start, size) runs, in any order, and if it is a copy.
+def with_runs(texts: DataFrame, runs: DataFrame, copies: DataFrame) -> DataFrame:
+    """(id, packed, copy, runs): each row's (start, size) runs, in any order, and if it is a copy.
 
     ``runs`` (id, digest, start, size) are of leading rows only, so a row has one mark. The
     texts are dealt out by (id, digest), as for the search, so one exchange serves both.
@@ -46,5 +75,5 @@ def with_runs(rows: DataFrame, runs: DataFrame, copies: DataFrame) -> DataFrame:
     marks = marks.unionAll(
         copies.select("id", "digest", F.lit(True).alias("copy"), F.lit(None).cast(kind))
     )
-    joined = rows.join(marks, ["id", "digest"], "left")
-    return joined.select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "runs")
+    joined = texts.join(marks, ["id", "digest"], "left")
+    return joined.select("id", "packed", F.coalesce("copy", F.lit(False)).alias("copy"), "runs")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatterscope.llm import texts
-from chatterscope.llm.rows import doc_id, keyed, leads, with_runs
+from chatterscope.llm.rows import doc_id, keyed, leads, packed, unpacked, with_runs
 
 #: Bytes of text whose chosen grams, about a sixteenth as many, meet in one bucket.
 BUCKET_BYTES = 32 << 20
@@ -80,7 +80,11 @@ def least_places(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class Choice:
-    """Windows of some texts, by start: the place and hash of the chosen gram, and the text."""
+    """Windows of some texts, by start: the place and hash of the chosen gram, and the text.
+
+    Hashes have 48 bits, which is what goes through the exchange: grams that collide are
+    compared for nothing, no more.
+    """
 
     start: np.ndarray
     place: np.ndarray
@@ -96,7 +100,7 @@ def choose(data: np.ndarray, offsets: np.ndarray, rule: Rule) -> Choice:
     count = np.maximum(np.diff(offsets) - rule.least + 1, 0)
     text = np.repeat(np.arange(len(count)), count)
     start = np.arange(len(text)) + np.repeat(offsets[:-1] - (np.cumsum(count) - count), count)
-    return Choice(start, places[start].astype(np.int64), hashes[start], text)
+    return Choice(start, places[start].astype(np.int64), hashes[start] >> _U(16), text)
 
 
 def _new_runs(chosen: Choice) -> np.ndarray:
@@ -139,7 +143,7 @@ def _bucket_rows(rows: DataFrame, buckets: int, rule: Rule) -> DataFrame:
                         pa.array(numbers.astype(np.int32)),
                         pa.array([digests[row:end][u].tobytes() for u, _ in used], pa.binary()),
                         pa.array([i.astype(np.uint16 if len(u) < 65536 else np.uint32).tobytes() for u, i in used], pa.binary()),
-                        pa.array([grams[p].tobytes() for p in parts], pa.binary()),
+                        pa.array([_short(grams[p]) for p in parts], pa.binary()),
                     ],
                     ["bucket", "digests", "texts", "grams"],
                 )
@@ -149,11 +153,22 @@ def _bucket_rows(rows: DataFrame, buckets: int, rule: Rule) -> DataFrame:
     )
 
 
+def _short(hashes: np.ndarray) -> bytes:
+    """48-bit values, six bytes each."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    cells = np.zeros((len(raw) // 6, 8), np.uint8)
+    cells[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return cells.reshape(-1).view("<u8")
+
+
 def _shared(table: pa.Table) -> pa.Table:
     """(digest, grams) of one bucket: the grams that another text has too."""
     digests, grams = [], []
     for d, t, g in zip(*(table.column(c).to_pylist() for c in ("digests", "texts", "grams")), strict=True):
-        values, known = np.frombuffer(g, np.uint64), np.frombuffer(d, np.int64)
+        values, known = _long(g), np.frombuffer(d, np.int64)
         kind = np.uint16 if len(t) == 2 * len(values) else np.uint32
         grams.append(values)
         digests.append(known[np.frombuffer(t, kind)])
@@ -172,30 +187,31 @@ def _shared(table: pa.Table) -> pa.Table:
         {
             "digest": pa.array(digest[begin] if len(digest) else [], pa.int64()),
             "grams": pa.array(
-                [gram[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()
+                [_short(gram[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()
             ),
         }
     )
 
 
-UNIT = "gram long, unit long, id long, digest long, start int, bytes binary"
+UNIT = "gram long, id long, digest long, start int, bytes binary"
 
 
-def _units(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+def _units(whole: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """Units of all occurrences of shared grams."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, digests = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             lists = batch.column(3)
-            for row, end, data, offsets in texts.chunks(batch.column(2)):
+            column = pa.array(unpacked(batch.column(2)), pa.large_binary())
+            for row, end, data, offsets in texts.chunks(column):
                 chosen = choose(data, offsets, rule)
                 at = _new_runs(chosen)
                 if not len(at):
                     continue
                 count = np.diff(np.append(at, len(chosen.start)))
                 raw = b"".join(x for i in range(row, end) for x in lists[i].as_py())
-                shared = np.unique(np.frombuffer(raw, np.uint64))
+                shared = np.unique(_long(raw))
                 near = np.searchsorted(shared, chosen.hash[at])
                 near[near == len(shared)] = 0
                 mine = shared[near] == chosen.hash[at]
@@ -211,7 +227,6 @@ def _units(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(chosen.hash[at].view(np.int64)),
-                        pa.array(_unit_names(joined, ends, chosen.place[at] - first)),
                         pa.array(ids[row:end][text]),
                         pa.array(digests[row:end][text]),
                         pa.array((first - offsets[text]).astype(np.int32)),
@@ -221,23 +236,13 @@ def _units(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                             [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(joined.tobytes())],
                         ),
                     ],
-                    ["gram", "unit", "id", "digest", "start", "bytes"],
+                    ["gram", "id", "digest", "start", "bytes"],
                 )
 
-    joined = rows.join(wanted, ["id", "digest"]).select("id", "digest", "text", "grams")
+    joined = whole.join(wanted, ["id", "digest"]).select("id", "digest", "packed", "grams")
     return joined.mapInArrow(run, UNIT)
 
 
-def _unit_names(joined: np.ndarray, ends: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A hash of each unit's bytes and of the gram's place in them."""
-    powers = texts.powers(texts.BASE, len(joined))
-    sums = np.concatenate([[_U(0)], np.cumsum(texts._LETTERS[joined] * powers, dtype=np.uint64)])
-    inverse = texts.powers(pow(texts.BASE, -1, 1 << 64), len(joined))
-    value = (sums[ends[1:]] - sums[ends[:-1]]) * inverse[ends[:-1]]
-    value += texts.seeded((np.diff(ends) * 256 + place).astype(np.uint64), 9)
-    return texts.mix(value).view(np.int64)
-
-
 @dataclass
 class Repeat:
     """A maximal repeat: its length, and (string, offset) of all its occurrences."""
@@ -373,16 +378,17 @@ RUN = "id long, digest long, start int, size int"
 
 def _repeats(units: DataFrame, rule: Rule) -> DataFrame:
     """(id, digest, start, size): runs of bytes covered by strings of earlier documents."""
-    ordered = units.repartition("gram").sortWithinPartitions("gram", "unit", "id", "digest", "start")
+    ordered = units.repartition("gram").sortWithinPartitions(
+        "gram", "bytes", "id", "digest", "start"
+    )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, unit, least_id, alone = None, None, None, True
         batch_ = _Batch(rule)
         for batch in batches:
             out: list[tuple] = []
-            keys = (batch.column(i).to_pylist() for i in range(5))
-            whole = batch.column(5)
-            for i, (g, u, d, t, s) in enumerate(zip(*keys, strict=True)):
+            keys = (batch.column(i).to_pylist() for i in (0, 4, 1, 2, 3))
+            for g, u, d, t, s in zip(*keys, strict=True):
                 if g != gram:
                     if alone and gram is not None and len(batch_.strings):
                         # The only unit of its gram has no other to be compared with.
@@ -394,7 +400,7 @@ def _repeats(units: DataFrame, rule: Rule) -> DataFrame:
                 if u != unit:
                     alone = unit is None
                     unit, least_id = u, d
-                    batch_.strings.append(whole[i].as_py())
+                    batch_.strings.append(u)
                     batch_.ids.append(d)
                     batch_.places.append([(t, s)])
                 elif d == least_id:
@@ -439,13 +445,14 @@ def without_repeats(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .agg(F.collect_list("grams").alias("grams"))
         .join(first, "digest")
     )
-    joined = with_runs(rows, _repeats(_units(rows, wanted, rule), rule), copies)
+    whole = packed(rows)
+    joined = with_runs(whole, _repeats(_units(whole, wanted, rule), rule), copies)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, spans, kept = [], [], [], []
-            for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column(1)[i].as_py().encode(), np.uint8)
+            for i, text in enumerate(unpacked(batch.column(1))):
+                data = np.frombuffer(text, np.uint8)
                 gone = np.zeros(len(data) + 1, np.int32)
                 runs = batch.column(3)[i]
                 if batch.column(2)[i].as_py() and len(data) >= rule.least:
