@@ -61,6 +61,12 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
+def _bounded_items(items: DataFrame) -> DataFrame:
+    """Items hold their words: they are broadcast up to so many words in all."""
+    words = items.agg(F.sum(F.size("item"))).first()[0] or 0
+    return F.broadcast(items) if words <= MAX_BROADCAST_ROWS else items
+
+
 def overlaps(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -91,8 +97,7 @@ def overlaps(
         .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
         .distinct()
     )
-    n_hits = hits.count()
-    pairs = hits.join(_bounded(items, items.count()), "item_id")
+    found_in = documents.select("doc_id", "text").join(_bounded(hits, hits.count()), "doc_id")
     # Bound by lambdas: what Spark merged into them would be evaluated for each word.
     size = F.least(F.lit(window), F.size("item"))
     measured = let(
@@ -100,8 +105,7 @@ def overlaps(
         lambda words: let(_equal_words(words), lambda equal: _measured(equal, size)),
     )
     compared = (
-        documents.select("doc_id", "text")
-        .join(_bounded(pairs, n_hits), "doc_id")
+        found_in.join(_bounded_items(items), "item_id")
         .select("doc_id", "item_id", size.alias("size"), F.size("item").alias("item_words"), measured.alias("m"))
         .select("doc_id", "item_id", "size", "item_words", "m.best", "m.matched_words")
     )
