@@ -43,6 +43,7 @@ HEADLINE = [
     "degree_centrality",
     "connected_components",
     "community_summary",
+    "communities",
     "stream_hashtags",
     "stream_trending",
     "csv_roundtrip",
@@ -74,7 +75,7 @@ def timed(spark: SparkSession, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     timed(spark, "top_hashtags", sf_dir)
     seconds = {}

@@ -547,7 +547,20 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             "SELECT id, min(root) AS component FROM reach GROUP BY id",
             links(), edges, both_ways, reach,
         ),
+        "communities": query(
+            "SELECT id, label AS community FROM label5", links(), edges, both_ways, *rounds
+        ),
         "community_summary": query(communities, links(), edges, both_ways, *rounds),
+        "topic_terms": query(
+            f"SELECT {day} AS day, count(*) AS posts, CAST(sum(len({words('clean_text')})) AS BIGINT)"
+            " AS words FROM cleaned WHERE clean_text <> '' GROUP BY 1",
+            cleaned,
+        ),
+        "topic_coverage": query(
+            f"SELECT {day} AS day, count(*) AS posts, TRUE AS whole FROM cleaned"
+            " WHERE clean_text <> '' AND ts IS NOT NULL GROUP BY 1",
+            cleaned,
+        ),
         "stream_hashtags": query(
             "SELECT hashtag, count(*) AS n FROM (SELECT unnest(list_filter(regexp_split_to_array("
             f"lower(text), '[{WS}]+'), lambda w: starts_with(w, '#'))) AS hashtag FROM posts)"

@@ -13,7 +13,6 @@ from chatterscope import schema
 from chatterscope.checks import fixtures
 from chatterscope.functions import metrics, sentiment, text
 from chatterscope.operators import (
-    communities,
     components,
     engagement,
     geo,
@@ -337,13 +336,16 @@ on_posts("interaction_nodes", lambda p: graph.interaction_nodes(network(p)))
 on_posts("graph_stats", lambda p: graph.graph_stats(network(p)))
 on_posts("top_mentioned", graph.top_mentioned)
 on_posts("connected_components", lambda p: components.connected_components(network(p)))
+# The SQL unrolls as many rounds.
+COMMUNITY_ROUNDS = 5
 on_posts(
-    "community_summary",
-    lambda p: components.community_summary(components.label_propagation(network(p)), p),
+    "communities", lambda p: components.label_propagation(network(p), rounds=COMMUNITY_ROUNDS)
 )
 on_posts(
-    "communities",
-    lambda p: communities.split_communities(graph.prune(network(p, "negative"))),
+    "community_summary",
+    lambda p: components.community_summary(
+        components.label_propagation(network(p), rounds=COMMUNITY_ROUNDS), p
+    ),
 )
 
 
@@ -380,6 +382,26 @@ def topic_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.topic_evolution(fitted(spark, sf_dir), fixtures.posts(spark, sf_dir))
 
 
+@query
+def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the model is fed: how many posts have a text, and how many words, per day."""
+    words = topics.documents(fixtures.posts(spark, sf_dir))
+    return words.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("posts"), F.sum(F.size("words")).alias("words")
+    )
+
+
+@query
+def topic_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per day: posts with a topic in range, and whether the daily shares make 100 percent."""
+    p = fixtures.posts(spark, sf_dir)
+    shares = topics.topic_evolution(fitted(spark, sf_dir), p)
+    return shares.groupBy("day").agg(
+        F.sum(F.when(F.col("topic").between(0, topics.TOPICS - 1), F.col("n"))).alias("posts"),
+        (F.abs(F.sum("percentage") - 100) < 1e-4).alias("whole"),
+    )
+
+
 # Streams
 
 

@@ -170,10 +170,23 @@ def split_communities(edges: DataFrame) -> DataFrame:
 
 
 def number_communities(components: DataFrame) -> DataFrame:
-    """Number components 1..n by smallest member; the window sees one row per component."""
-    numbers = (
+    """(id, community): components numbered from 1 in the order of their names.
+
+    Names are dealt out by range, numbered inside their part, and shifted by the sizes of the
+    parts before, so no task holds them all.
+    """
+    named = cut_lineage(
         components.select("component")
         .distinct()
-        .withColumn("community", F.row_number().over(W.orderBy("component")))
+        .repartitionByRange("component")
+        .withColumn("part", F.spark_partition_id())
     )
+    sizes = {r["part"]: r["count"] for r in named.groupBy("part").count().collect()}
+    shift, before = {}, 0
+    for part in sorted(sizes):
+        shift[part], before = before, before + sizes[part]
+    pairs = [F.lit(x) for item in shift.items() for x in item]
+    offset = F.element_at(F.create_map(*pairs), F.col("part")) if pairs else F.lit(0)
+    place = F.row_number().over(W.partitionBy("part").orderBy("component"))
+    numbers = named.select("component", (place + offset).cast("int").alias("community"))
     return salted_join(components, numbers, "component", by=["id"]).select("id", "community")

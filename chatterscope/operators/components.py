@@ -95,11 +95,14 @@ def _state(links: DataFrame) -> Row:
     ).first()
 
 
-def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
+def label_propagation(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(id, community): each round a vertex takes the label of largest total edge weight
     among its neighbours, the smaller label on a tie (all vertices at once).
 
-    Hubs are found once and their arcs salted once; votes are summed before each shuffle.
+    Without ``rounds`` it goes on until the labels repeat: either they stay, or two states
+    take turns, as on a graph of two sides; then each vertex has the smaller of its two. With
+    ``rounds`` it ends after so many, settled or not. Hubs are found once and their arcs
+    salted once; votes are summed before each shuffle.
     """
     simple = edges.filter(F.col("src") != F.col("dst"))
     arcs = simple.select(
@@ -115,9 +118,13 @@ def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
     if hot:
         arcs = salt_rows(arcs, "voter", hot, by=["id"])
     arcs = cut_lineage(arcs)
-    labels = cut_lineage(vertices_of(edges).withColumn("label", F.col("id")))
-    for _ in range(rounds):
-        cast = labels.withColumnRenamed("id", "voter")
+    # The label, and the one before it.
+    labels = cut_lineage(
+        vertices_of(edges).select("id", F.col("id").alias("label"), F.col("id").alias("last"))
+    )
+    done = 0
+    while rounds is None or done < rounds:
+        cast = labels.select(F.col("id").alias("voter"), "label")
         if hot:
             cast = spread_rows(cast, "voter", hot)
         votes = (
@@ -128,12 +135,26 @@ def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
         chosen = votes.groupBy("id").agg(
             F.min(F.struct((-F.col("votes")).alias("rank"), "label"))["label"].alias("chosen")
         )
-        labels = cut_lineage(
+        moved = cut_lineage(
             labels.join(chosen, "id", "left").select(
-                "id", F.coalesce("chosen", "label").alias("label")
+                "id",
+                F.coalesce("chosen", "label").alias("label"),
+                F.col("label").alias("last"),
+                F.col("last").alias("older"),
             )
         )
-    return labels.withColumnRenamed("label", "community")
+        labels = moved.drop("older")
+        done += 1
+        if rounds is None:
+            state = moved.agg(
+                F.count_if(F.col("label") != F.col("last")).alias("changed"),
+                F.count_if(F.col("label") != F.col("older")).alias("unlike_older"),
+            ).first()
+            if not state["changed"]:
+                break
+            if done > 1 and not state["unlike_older"]:
+                return labels.select("id", F.least("label", "last").alias("community"))
+    return labels.select("id", F.col("label").alias("community"))
 
 
 def community_summary(communities: DataFrame, posts: DataFrame) -> DataFrame:

@@ -231,3 +231,31 @@ def test_prolific_author(spark, monkeypatch):
     assert joined.count() == 3000
     by_name = {r["username"]: r["count"] for r in joined.groupBy("username").count().collect()}
     assert by_name == {"ann": 1001, "bob": 1, "N/A": 1998}
+
+
+def settled(near):
+    labels, last = {v: v for v in near}, None
+    while True:
+        moved = {}
+        for v in near:
+            count = defaultdict(int)
+            for u in near[v]:
+                count[labels[u]] += 1
+            moved[v] = min(count, key=lambda label: (-count[label], label))
+        if moved == labels:
+            return moved
+        if moved == last:
+            return {v: min(moved[v], labels[v]) for v in near}
+        labels, last = moved, labels
+
+
+@pytest.mark.parametrize("edges", [[(1, 2), (2, 3), (3, 4)], [(1, 9)], random_edges(5, 12, 20)])
+def test_label_propagation_until_it_settles(spark, edges):
+    got = components.label_propagation(edge_table(spark, edges)).collect()
+    assert {r["id"]: r["community"] for r in got} == settled(neighbours(edges))
+
+
+def test_communities_are_numbered_in_order(spark):
+    members = spark.range(500).select("id", (F.col("id") % 83 * 7).alias("component"))
+    got = {r["id"]: r["community"] for r in communities.number_communities(members).collect()}
+    assert got == {i: i % 83 + 1 for i in range(500)}

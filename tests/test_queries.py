@@ -14,7 +14,6 @@ SF_DIR = "/root/testdata/sf0.001"
 TABLES = [p.stem for p in Path(SF_DIR).glob("*.parquet")]
 # Compared with other code or by invariants below.
 WITHOUT_SQL = {
-    "communities",
     "topic_model",
     "topic_keywords",
     "topic_distribution",
@@ -82,3 +81,13 @@ def test_engagement_total_is_null_when_a_metric_is(spark):
     )
     totals = df.select(post_engagement(df.columns).alias("t")).collect()
     assert [r["t"] for r in totals] == [10, None]
+
+
+def test_topics_of_no_posts(spark):
+    from chatterscope.operators import topics
+
+    none = spark.createDataFrame([], "post_id long, ts timestamp, text string")
+    assert topics.fit_topics(none) is None
+    assert topics.topic_distribution(None, none).isEmpty()
+    assert topics.topic_evolution(None, none).isEmpty()
+    assert topics.topic_keywords(spark, None).count() == topics.TOPICS
