@@ -23,7 +23,11 @@ def _pick(divisor: int, choices: dict[int, str]):
 
 
 def _user(factor: int):
-    return F.concat(F.lit("user"), ((F.col("event_id") * factor) % 150).cast("string"))
+    """A user of the author's block of 15, so that the network falls apart into blocks."""
+    user = F.col("user_id")
+    return F.concat(
+        F.lit("user"), (user - user % 15 + (F.col("event_id") * factor) % 15).cast("string")
+    )
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,13 +38,17 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", (event % n_documents).alias("doc_id")
     )
+    # Posts of the placeholder user would link all blocks.
+    linked = event % 97 != 0
     text = F.concat(
-        F.when(event % 5 == 1, F.concat(F.lit("RT @"), _user(7), F.lit(": "))).otherwise(""),
+        F.when(linked & (event % 5 == 1), F.concat(F.lit("RT @"), _user(7), F.lit(": "))).otherwise(""),
         F.col("body"),
         _pick(6, {0: " great", 1: " terrible", 2: " good", 3: " not bad"}),
         _pick(7, {0: " #AI", 1: " #tech #AI", 2: " #music!", 3: " #Café2025"}),
         _pick(11, {0: " #NYC", 1: " #London", 2: " #Bombay #Mumbai", 3: " #Bengaluru"}),
-        F.when(event % 3 == 0, F.concat(F.lit(" @"), _user(13))).otherwise(""),
+        F.when(linked & (event % 3 == 0), F.concat(F.lit(" @"), _user(13))).otherwise(""),
+        F.when(linked & (event % 499 == 0), F.concat(F.lit(" @solo"), event.cast("string"))).otherwise(""),
+        F.when(event % 8 == 0, F.lit(" cities and mice")).otherwise(""),
         F.when(event % 13 == 0, F.concat(F.lit(" https://t.co/x"), event.cast("string"))).otherwise(""),
     )
     user = F.col("user_id")

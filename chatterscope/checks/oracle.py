@@ -14,8 +14,8 @@ POSTS = """
 posts AS (
   SELECT e.event_id AS post_id,
     CASE WHEN e.event_id % 101 = 0 THEN NULL ELSE
-      CASE WHEN e.event_id % 5 = 1
-        THEN 'RT @user' || CAST((e.event_id * 7) % 150 AS VARCHAR) || ': ' ELSE '' END
+      CASE WHEN e.event_id % 97 <> 0 AND e.event_id % 5 = 1 THEN 'RT @user' || CAST(
+        e.user_id - e.user_id % 15 + (e.event_id * 7) % 15 AS VARCHAR) || ': ' ELSE '' END
       || d.text
       || CASE e.event_id % 6 WHEN 0 THEN ' great' WHEN 1 THEN ' terrible' WHEN 2 THEN ' good'
          WHEN 3 THEN ' not bad' ELSE '' END
@@ -23,8 +23,11 @@ posts AS (
          WHEN 3 THEN ' #Café2025' ELSE '' END
       || CASE e.event_id % 11 WHEN 0 THEN ' #NYC' WHEN 1 THEN ' #London'
          WHEN 2 THEN ' #Bombay #Mumbai' WHEN 3 THEN ' #Bengaluru' ELSE '' END
-      || CASE WHEN e.event_id % 3 = 0
-         THEN ' @user' || CAST((e.event_id * 13) % 150 AS VARCHAR) ELSE '' END
+      || CASE WHEN e.event_id % 97 <> 0 AND e.event_id % 3 = 0 THEN ' @user' || CAST(
+         e.user_id - e.user_id % 15 + (e.event_id * 13) % 15 AS VARCHAR) ELSE '' END
+      || CASE WHEN e.event_id % 97 <> 0 AND e.event_id % 499 = 0
+         THEN ' @solo' || CAST(e.event_id AS VARCHAR) ELSE '' END
+      || CASE WHEN e.event_id % 8 = 0 THEN ' cities and mice' ELSE '' END
       || CASE WHEN e.event_id % 13 = 0
          THEN ' https://t.co/x' || CAST(e.event_id AS VARCHAR) ELSE '' END
     END AS text,
