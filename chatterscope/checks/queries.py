@@ -349,6 +349,29 @@ on_posts(
 )
 
 
+# The enriched table: texts are cleaned once, reports read what was written.
+
+
+@lru_cache(maxsize=4)
+def _enriched(application: str, spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "enriched")
+    sources.write_posts(features.enrich(fixtures.posts(spark, sf_dir)), path)
+    return path
+
+
+def on_enriched(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _enriched(spark.sparkContext.applicationId, spark, sf_dir)
+        return build(sources.load_posts(spark, path))
+
+    QUERIES[name] = run
+
+
+on_enriched("enriched_key_metrics", engagement.key_metrics)
+on_enriched("enriched_sentiment_trends", trends.sentiment_trends)
+on_enriched("enriched_geo_sentiment", geo.geo_sentiment)
+
+
 # Topics
 
 
@@ -423,10 +446,10 @@ def stream_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream all posts by day windows; the day still open at the end is not in the result."""
+    """Stream all posts by day windows; a last row closes the feed, so no day stays open."""
     feed, out = scratch_path(spark, "feed"), scratch_path(spark, "trending")
     dated = fixtures.posts(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "text")
-    dated.write.parquet(feed)
+    streams.closed_feed(dated).write.parquet(feed)
     arriving = spark.readStream.schema("ts timestamp, text string").parquet(feed)
     started = streams.start_trending(
         arriving, scratch_path(spark, "stream-state"), out, available_now=True

@@ -86,6 +86,13 @@ def trending(posts: DataFrame, window: str = "1 day", lateness: str = "10 minute
     )
 
 
+def closed_feed(posts: DataFrame, after: str = "2 days") -> DataFrame:
+    """A finite feed (ts, text) and a row without a text that comes ``after`` its last one: a
+    stream of it closes all windows of the feed, given ``after`` exceeds window and lateness."""
+    end = posts.agg((F.max("ts") + F.expr(f"INTERVAL {after}")).alias("ts"))
+    return posts.unionByName(end.withColumn("text", F.lit(None).cast("string")))
+
+
 def start_trending(
     posts: DataFrame, checkpoint: str, path: str, available_now: bool = False, **options
 ) -> StreamingQuery:

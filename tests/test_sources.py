@@ -110,3 +110,13 @@ def test_shared_dir(spark, tmp_path):
     with pytest.raises(ValueError):
         lineage.shared_dir(FakeSession("spark://host:1"))
     assert lineage.shared_dir(spark) == spark.conf.get(lineage.SETTING)
+
+
+def test_days_are_written_in_few_files(spark, tmp_path):
+    rows = spark.range(2000, numPartitions=16).select(
+        F.col("id").alias("post_id"),
+        F.timestamp_seconds(F.col("id") % 10 * 86400 + 1_700_000_000).alias("ts"),
+    )
+    sources.write_posts(rows, str(tmp_path / "posts"))
+    assert len(list((tmp_path / "posts").glob("day=*/*.parquet"))) <= 20
+    assert spark.read.parquet(str(tmp_path / "posts")).count() == 2000
