@@ -37,7 +37,8 @@ def packed(rows: DataFrame) -> DataFrame:
             )
 
     return rows.select("id", "digest", "text").mapInArrow(
-        run, "id long, digest long, packed binary"
+        # Not null, or an inner and a left join would not share their exchange.
+        run, "id long not null, digest long not null, packed binary not null"
     )
 
 

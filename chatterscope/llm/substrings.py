@@ -164,10 +164,15 @@ def _long(raw: bytes) -> np.ndarray:
     return cells.reshape(-1).view("<u8")
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """(digest, grams) of one bucket: the grams that another text has too."""
+SHARED = "part int, digests binary, counts binary, grams binary"
+
+
+def _shared(table: pa.Table, parts: int) -> pa.Table:
+    """The grams of one bucket that several texts have, by part of the texts: which texts, how
+    many grams of each, and these grams."""
     digests, grams = [], []
-    for d, t, g in zip(*(table.column(c).to_pylist() for c in ("digests", "texts", "grams")), strict=True):
+    columns = (table.column(c).to_pylist() for c in ("digests", "texts", "grams"))
+    for d, t, g in zip(*columns, strict=True):
         values, known = _long(g), np.frombuffer(d, np.int64)
         kind = np.uint16 if len(t) == 2 * len(values) else np.uint32
         grams.append(values)
@@ -179,13 +184,38 @@ def _shared(table: pa.Table) -> pa.Table:
     several = np.minimum.reduceat(digest, begin) != np.maximum.reduceat(digest, begin)
     mine = np.repeat(several, np.diff(np.append(begin, len(gram))))
     gram, digest = gram[mine], digest[mine]
-    order = np.lexsort((gram, digest))
+    part = (texts.mix(digest.view(np.uint64)) % _U(parts)).astype(np.int32)
+    order = np.lexsort((digest, part))
+    gram, digest, part = gram[order], digest[order], part[order]
+    rows: dict[str, list] = {"part": [], "digests": [], "counts": [], "grams": []}
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    for number in np.unique(part).tolist():
+        some = slice(edges[number], edges[number + 1])
+        first = np.flatnonzero(np.append(True, digest[some][1:] != digest[some][:-1]))
+        counts = np.diff(np.append(first, len(digest[some])))
+        rows["part"].append(number)
+        rows["digests"].append(digest[some][first].tobytes())
+        rows["counts"].append(counts.astype(np.uint32).tobytes())
+        rows["grams"].append(_short(gram[some]))
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), kinds, strict=True)})
+
+
+def _by_text(table: pa.Table) -> pa.Table:
+    """(digest, grams): all shared grams of each text of one part."""
+    digests, grams = [], []
+    columns = (table.column(c).to_pylist() for c in ("digests", "counts", "grams"))
+    for d, n, g in zip(*columns, strict=True):
+        digests.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(n, np.uint32)))
+        grams.append(_long(g))
+    gram, digest = np.concatenate(grams), np.concatenate(digests)
+    order = np.argsort(digest, kind="stable")
     gram, digest = gram[order], digest[order]
-    begin = np.flatnonzero(np.append(True, digest[1:] != digest[:-1])) if len(digest) else []
-    ends = np.append(begin, len(digest)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, digest[1:] != digest[:-1]))
+    ends = np.append(first, len(digest)).tolist()
     return pa.table(
         {
-            "digest": pa.array(digest[begin] if len(digest) else [], pa.int64()),
+            "digest": pa.array(digest[first], pa.int64()),
             "grams": pa.array(
                 [_short(gram[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()
             ),
@@ -210,7 +240,7 @@ def _units(whole: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                 if not len(at):
                     continue
                 count = np.diff(np.append(at, len(chosen.start)))
-                raw = b"".join(x for i in range(row, end) for x in lists[i].as_py())
+                raw = b"".join(lists[i].as_py() for i in range(row, end))
                 shared = np.unique(_long(raw))
                 near = np.searchsorted(shared, chosen.hash[at])
                 near[near == len(shared)] = 0
@@ -440,9 +470,9 @@ def without_repeats(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     wanted = (
         _bucket_rows(rows, buckets, rule)
         .groupBy("bucket")
-        .applyInArrow(_shared, "digest long, grams binary")
-        .groupBy("digest")
-        .agg(F.collect_list("grams").alias("grams"))
+        .applyInArrow(lambda table: _shared(table, buckets), SHARED)
+        .groupBy("part")
+        .applyInArrow(_by_text, "digest long, grams binary")
         .join(first, "digest")
     )
     whole = packed(rows)
