@@ -264,7 +264,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a part of a benchmark item."""
     return contamination.overlaps(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1
     )
 
 

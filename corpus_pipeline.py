@@ -41,7 +41,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a part of a benchmark item."""
-    return contamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+    return contamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,45 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a " * 20, 1, "x", 1)], SCHEMA)
     assert c.overlaps(none, items).isEmpty() and c.overlaps(some, items).isEmpty()
     assert c.without_benchmark(some, items).count() == 1
+
+
+def test_items_of_every_length_with_every_tolerated_replacement(spark):
+    from itertools import combinations
+
+    items, documents, want = [], [], {}
+    for n in range(1, 15):
+        mine = [f"w{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(mine)))
+        allowed = 2 * min(n, 13) // 13
+        for changed in (c for k in range(allowed + 2) for c in combinations(range(n), k)):
+            text = " ".join("other" if j in changed else w for j, w in enumerate(mine))
+            for around in ("{}", "before {} after"):
+                documents.append((len(documents), around.format(text)))
+                if len(changed) <= allowed or n == 14 and max(sum(j not in changed for j in p) for p in (range(13), range(1, 14))) > 10:
+                    want[documents[-1][0], n] = n - len(changed)
+    documents.append((-1, "w2x0"))  # the edge of a document cuts an item
+    documents.append((-9, items[8][1].split(" ", 1)[1]))
+    want[-9, 9] = 8
+    documents.append((-3, "w1x0 " * 3000 + items[2][1]))
+    want.update({(-3, 1): 1, (-3, 3): 3})
+    left = spark.createDataFrame([(*r, 1, "x", 2) for r in documents], SCHEMA)
+    right = spark.createDataFrame([(*r, "x") for r in items], ITEMS)
+    found = c.overlaps(left, right, shortest=1).collect()
+    assert len(found) == len(want)
+    assert {(r["doc_id"], r["item_id"]): r["matched_words"] for r in found} == want
+    usual = {(r["doc_id"], r["item_id"]) for r in c.overlaps(left, right).collect()}
+    assert usual == {k for k in want if k[1] >= c.SHORTEST}
+
+
+def test_pipeline_drops_copies_of_short_items(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, "one two three", "x")], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "zero one, two THREE four", 1, "x", 1), (2, "one two four", 1, "x", 1)], SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert [r["doc_id"] for r in kept.collect()] == [2]
+    from chatterscope.llm.queries import QUERIES
+
+    found = QUERIES["op8_contamination"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in found] == [(1, 1, 3, 3)]
