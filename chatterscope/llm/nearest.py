@@ -3,7 +3,7 @@
 Vectors are packed into blocks; every candidate block meets every block of the stated query
 set once. A tile is the integer product of 8-bit codes; with the exact norms of the coding
 errors it bounds every distance from both sides. Pairs whose lower bound is above the k-th
-smallest upper bound go; the others are computed again in double precision from the original
+smallest upper bound of an id go; the others are computed again in double precision from the original
 vectors, and heaps merge the tiles of a task and then the tasks of a query.
 """
 
@@ -127,7 +127,12 @@ def square_bounds(queries: Coded, others: Coded) -> tuple[np.ndarray, np.ndarray
 def tile(
     queries: Coded, query_ids: np.ndarray, others: Coded, ids: np.ndarray, heaps: dict, k: int
 ) -> None:
-    """Put the pairs of one tile that can be among the k nearest into the queries' heaps."""
+    """Put the pairs of one tile that can be among the k nearest into the queries' heaps.
+
+    The bar is over ids, each with its smallest upper bound, as results count an id once.
+    """
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[order], prepend=ids[order[0]] - 1)) if len(ids) else order
     for at in range(0, len(query_ids), STRIP):
         part = slice(at, at + STRIP)
         strip = Coded.__new__(Coded)
@@ -137,7 +142,9 @@ def tile(
         own = query_ids[part][:, None] == ids[None, :]
         low[own], high[own] = np.inf, np.inf
         bar = np.full(len(low), np.inf)
-        if len(ids) > k:
+        if len(first) > k:
+            if len(first) < len(ids):
+                high = np.minimum.reduceat(high[:, order], first, axis=1)
             bar = np.partition(high, k - 1, axis=1)[:, k - 1]
         for i, q in enumerate(query_ids[part].tolist()):
             heap = heaps.setdefault(q, [])

@@ -54,3 +54,21 @@ def test_bounds_hold():
     low, high = nearest.square_bounds(nearest.Coded(a), nearest.Coded(b))
     exact = ((a[:, None] - b[None]) ** 2).sum(2)
     assert (low <= exact).all() and (exact <= high).all()
+
+
+def test_rows_that_all_occur_k_times(spark):
+    random = np.random.default_rng(3)
+    once = [(i, random.normal(size=6).tolist()) for i in range(40)]
+    once += [(i, random.normal(size=6).tolist()) for i in range(0, 40, 3)]  # ids with two vectors
+    got, want = search(spark, once * 4), brute(once, 4)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
+def test_bar_of_a_block_is_over_ids():
+    random = np.random.default_rng(4)
+    rows, ids = np.repeat(random.normal(size=(40, 8)), 2, axis=0), np.repeat(np.arange(40), 2)
+    heaps = {}
+    nearest.tile(nearest.Coded(rows[:1]), ids[:1], nearest.Coded(rows), ids, heaps, 10)
+    exact = sorted((np.linalg.norm(rows[2 * i] - rows[0]), i) for i in range(1, 40))[:10]
+    assert [-i for _, i in sorted(heaps[0], reverse=True)] == [i for _, i in exact]
