@@ -407,10 +407,11 @@ def topic_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the model is fed: how many posts have a text, and how many words, per day."""
-    words = topics.documents(fixtures.posts(spark, sf_dir))
-    return words.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
-        F.count("*").alias("posts"), F.sum(F.size("words")).alias("words")
+    """What the model is fed: how many posts have a text, and how many words their term vectors
+    hold, per day."""
+    vectors = topics.with_vectors(topics.documents(fixtures.posts(spark, sf_dir)))
+    return vectors.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("posts"), F.sum(topics.terms_held(F.col("features"))).alias("words")
     )
 
 
