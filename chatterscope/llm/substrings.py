@@ -11,6 +11,8 @@ windows choose equal grams. Grams that only one text chose cannot be in a repeat
    prefix lengths gives its interval tree; intervals of at least ``least`` bytes whose suffixes
    follow different bytes are the maximal repeats, each with all its occurrences. Where a
    repeat occurs in an earlier document, its windows in the later ones are covered.
+4. A gram of more than ``UNITS`` distinct units makes no suffix array: its windows are dealt
+   by their bytes, so equal ones meet in order of document, whatever the gram's size.
 
 Documents of equal text are one, as all of them but those of the smallest id are repeats.
 """
@@ -30,7 +32,8 @@ from chatterscope.llm.rows import doc_id, keyed, leads, packed, unpacked, with_r
 
 #: Bytes of text whose chosen grams, about a sixteenth as many, meet in one bucket.
 BUCKET_BYTES = 32 << 20
-#: Distinct units that make one suffix array.
+#: Distinct units that make one suffix array; it has at most twice as many. A gram of more is
+#: judged window by window.
 UNITS = 4096
 _U = np.uint64
 
@@ -404,6 +407,8 @@ class _Batch:
 
 
 RUN = "id long, digest long, start int, size int"
+#: Runs that are covered, and windows (their bytes with them) that are still to be judged.
+FOUND = f"{RUN}, window binary"
 
 
 def _repeats(units: DataFrame, rule: Rule) -> DataFrame:
@@ -411,9 +416,14 @@ def _repeats(units: DataFrame, rule: Rule) -> DataFrame:
     ordered = units.repartition("gram").sortWithinPartitions(
         "gram", "bytes", "id", "digest", "start"
     )
+    least = rule.least
+
+    def windows(unit: bytes, least_id: int, digest: int, start: int) -> list[tuple]:
+        places = range(len(unit) - least + 1)
+        return [(least_id, digest, start + i, least, unit[i : i + least]) for i in places]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, unit, least_id, alone = None, None, None, True
+        gram, unit, least_id, alone, count, hot = None, None, None, True, 0, False
         batch_ = _Batch(rule)
         for batch in batches:
             out: list[tuple] = []
@@ -426,31 +436,59 @@ def _repeats(units: DataFrame, rule: Rule) -> DataFrame:
                     if len(batch_.strings) >= UNITS:
                         out += batch_.covered()
                         batch_ = _Batch(rule)
-                    gram, unit, alone = g, None, True
+                    gram, unit, alone, count, hot = g, None, True, 0, False
                 if u != unit:
                     alone = unit is None
                     unit, least_id = u, d
-                    batch_.strings.append(u)
-                    batch_.ids.append(d)
-                    batch_.places.append([(t, s)])
-                elif d == least_id:
+                    count += 1
+                    if count > UNITS and not hot:
+                        hot = True
+                        for _ in range(count - 1):
+                            string, first = batch_.strings.pop(), batch_.ids.pop()
+                            for digest, start in batch_.places.pop():
+                                out += windows(string, first, digest, start)
+                    if not hot:
+                        batch_.strings.append(u)
+                        batch_.ids.append(d)
+                        batch_.places.append([(t, s)])
+                elif d != least_id:
+                    out.append((d, t, s, len(u)))
+                elif not hot:
                     batch_.places[-1].append((t, s))
-                else:
-                    out.append((d, t, s, len(batch_.strings[-1])))
+                if hot and d == least_id:
+                    out += windows(u, d, t, s)
             if out:
-                yield _runs(out)
+                yield _found(out)
         if batch_.strings and (found := batch_.covered()):
-            yield _runs(found)
-
-    return ordered.mapInArrow(run, RUN)
-
-
-def _runs(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-    columns = zip(*rows, strict=True)
+            yield _found(found)
+
+    found = ordered.mapInArrow(run, FOUND)
+    # Runs pass through the exchange of the windows, so the units are worked off once.
+    key = F.when(F.col("window").isNull(), F.xxhash64("id", "digest", "start"))
+    dealt = found.repartition(key.otherwise(F.xxhash64("window")))
+    return dealt.sortWithinPartitions("window", "id").mapInArrow(_judged, RUN)
+
+
+def _judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs, and the windows that an earlier document has too; equal ones come by id."""
+    window, first = None, None
+    for batch in batches:
+        late = batch.column(4).is_null().to_numpy(zero_copy_only=False).copy()
+        ids = batch.column(0)
+        for i in np.flatnonzero(~late).tolist():
+            w, d = batch.column(4)[i].as_py(), ids[i].as_py()
+            if w != window:
+                window, first = w, d
+            late[i] = d > first
+        yield batch.select([0, 1, 2, 3]).filter(pa.array(late))
+
+
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    columns = zip(*[r if len(r) == 5 else (*r, None) for r in rows], strict=True)
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-        ["id", "digest", "start", "size"],
+        ["id", "digest", "start", "size", "window"],
     )
 
 

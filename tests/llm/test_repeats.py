@@ -116,3 +116,57 @@ def test_maximal_repeats_with_all_occurrences():
         }
         assert found == repeats_brute(strings, 3)
     assert substrings.maximal_repeats([], 3) == []
+
+
+def test_a_gram_of_very_many_contexts_makes_no_large_suffix_array(spark, monkeypatch):
+    """One gram in many contexts, some of which recur; SuffixArray refuses more than twice UNITS."""
+    rng = random.Random(5)
+    rule = substrings.Rule(least=12, gram=5)
+    monkeypatch.setattr(substrings, "UNITS", 8)
+    gram = min(
+        ("".join(rng.choices("abcdefgh", k=5)) for _ in range(4000)),
+        key=lambda g: substrings.gram_hashes(np.frombuffer(g.encode(), np.uint8), 5)[0],
+    )
+    around = ["".join(rng.choices("abcdefgh", k=9)) for _ in range(40)]
+    rows = [(i, f"{i:03d}{rng.choice(around)}{gram}{rng.choice(around)}{i:03d}") for i in range(200)]
+    rows += [(300, rows[3][1] + rows[4][1]), (301, rows[3][1]), (7, rows[8][1])]
+    units = {r[1][3:26] for r in rows[:200]}
+    assert len(units) > 100
+    sizes = []
+    made = substrings.SuffixArray.__init__
+
+    def watched(self, strings, least):
+        sizes.append(len(strings))
+        made(self, strings, least)
+
+    # The stream of units itself, run here: what a task of Spark holds at once.
+    monkeypatch.setattr(substrings.SuffixArray, "__init__", watched)
+    streams = []
+
+    class Table:
+        def __getattr__(self, name):
+            return lambda *a, **b: self
+
+        def mapInArrow(self, run, schema):
+            streams.append(run)
+            return self
+
+    substrings._repeats(Table(), rule)
+    import pyarrow as pa
+
+    listed = sorted((1, d, d, 0, t.encode()[3:26]) for d, t in rows[:200])
+    listed.sort(key=lambda r: (r[4], r[1]))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*listed, strict=True), kinds, strict=True)],
+        ["gram", "id", "digest", "start", "bytes"],
+    )
+    found = [r for b in streams[0](iter([batch])) for r in b.to_pylist()]
+    assert found and max(sizes, default=0) <= 16
+    monkeypatch.undo()
+    monkeypatch.setattr(substrings, "UNITS", 8)
+    got = {}
+    for r in substrings.without_repeats(frame(spark, rows), rule).collect():
+        got.setdefault(r["doc_id"], set()).add((*tuple(r)[1:4], bytes(r["kept"])))
+    assert got == bytes_brute(rows, 12)
+    assert sum(n for v in got.values() for _, n, _, _ in v) > 500
