@@ -272,6 +272,25 @@ FROM label5 LEFT JOIN (
   WHERE username IS NOT NULL GROUP BY username) u ON u.username = label5.id
 GROUP BY label"""
 
+    # Until the labels repeat: they stay, or two states take turns; then the smaller of the two.
+    rounds_on = """
+state(n, id, label, last, older) AS (
+  SELECT DISTINCT 0, a, a, a, a FROM arcs
+  UNION ALL
+  SELECT n + 1, s.id, chosen.label, s.label, s.last
+  FROM state s JOIN (
+    SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) AS nth
+    FROM (SELECT arcs.b AS id, l.label, sum(weight) AS votes
+          FROM arcs JOIN state l ON l.id = arcs.a GROUP BY 1, 2)
+  ) chosen ON chosen.id = s.id AND nth = 1
+  WHERE n = 0 OR EXISTS (SELECT 1 FROM state WHERE label <> last)
+    AND (n = 1 OR EXISTS (SELECT 1 FROM state WHERE label <> older))
+)"""
+    settled = """
+settled AS (
+  SELECT id, least(label, last) AS label FROM state WHERE n = (SELECT max(n) FROM state)
+)"""
+
     day = "strftime(ts, '%Y-%m-%d')"
     best_tags = top(tag_counts, "n", "hashtag", 5)
     trends = f"""
@@ -554,6 +573,13 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             "SELECT id, label AS community FROM label5", links(), edges, both_ways, *rounds
         ),
         "community_summary": query(communities, links(), edges, both_ways, *rounds),
+        "communities_settled": query(
+            "SELECT id, label AS community FROM settled",
+            links(), edges, both_ways, rounds_on, settled,
+        ),
+        "community_summary_settled": query(
+            communities.replace("label5", "settled"), links(), edges, both_ways, rounds_on, settled
+        ),
         "topic_terms": query(
             f"SELECT {day} AS day, count(*) AS posts, CAST(sum(len({words('clean_text')})) AS BIGINT)"
             " AS words FROM cleaned WHERE clean_text <> '' GROUP BY 1",

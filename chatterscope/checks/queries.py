@@ -347,6 +347,12 @@ on_posts(
         components.label_propagation(network(p), rounds=COMMUNITY_ROUNDS), p
     ),
 )
+# The whole job: until the labels settle.
+on_posts("communities_settled", lambda p: components.label_propagation(network(p)))
+on_posts(
+    "community_summary_settled",
+    lambda p: components.community_summary(components.label_propagation(network(p)), p),
+)
 
 
 # The enriched table: texts are cleaned once, reports read what was written.

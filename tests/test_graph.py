@@ -259,3 +259,17 @@ def test_communities_are_numbered_in_order(spark):
     members = spark.range(500).select("id", (F.col("id") % 83 * 7).alias("component"))
     got = {r["id"]: r["community"] for r in communities.number_communities(members).collect()}
     assert got == {i: i % 83 + 1 for i in range(500)}
+
+
+def test_registered_communities_settle_after_more_than_five_rounds(spark, monkeypatch):
+    from chatterscope.checks import queries
+
+    # A path whose labels need many rounds.
+    edges = [(f"v{i:02d}", f"v{i + 1:02d}") for i in range(20)] + [("v00", "v02")]
+    table = spark.createDataFrame([(a, b, 1) for a, b in edges], "src string, dst string, weight long")
+    monkeypatch.setattr(queries, "network", lambda p: table)
+    monkeypatch.setattr(queries.fixtures, "posts", lambda spark, sf_dir: None)
+    want = settled(neighbours(edges))
+    got = {n: {r["id"]: r["community"] for r in queries.QUERIES[n](spark, "").collect()} for n in ("communities", "communities_settled")}
+    assert got["communities_settled"] == want
+    assert got["communities"] != want
