@@ -9,7 +9,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import chat, contamination, language, nearest, passages, pieces, quality, secrets, similar, substrings
+from chatterscope.llm import (
+    chat,
+    contamination,
+    language,
+    nearest,
+    packing,
+    passages,
+    pieces,
+    quality,
+    secrets,
+    similar,
+    substrings,
+)
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -360,3 +372,13 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS
     sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+# Best-fit packing
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    cut = packing.pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.pack(cut, packing.Limits(tokens=1024))
