@@ -14,6 +14,7 @@ from chatterscope.llm import (
     contamination,
     language,
     nearest,
+    negatives,
     packing,
     passages,
     pieces,
@@ -21,6 +22,7 @@ from chatterscope.llm import (
     secrets,
     similar,
     substrings,
+    turns,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -374,6 +376,65 @@ FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+# Conversation structure repair
+
+
+@query
+def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults and their cheapest repair."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = turns.figures(turns.repair(turns.damage(rows)))
+    of = F.col("of")
+    ids = rows.select(F.col("conv_id").cast("long").alias("of")).distinct()
+    every = ids.join(found, of.eqNullSafe(F.col("conv_id")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        of.alias("conv_id"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+# Hard-negative mining
+
+
+@query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score 80 to 100 % of an anchor's positives."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.e) = len(c.e)
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+ranked AS (
+    SELECT anchor_id, positive_id, positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (
+            PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+    FROM positives JOIN pairs n USING (anchor_id)
+    WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
+
 # Best-fit packing
 
 
