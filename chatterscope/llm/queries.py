@@ -81,42 +81,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEGMENTATIONS = 2
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, text, ids, scores and alternatives to figures of the segmentations."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces.load(path)
-        for batch in batches:
-            rows: dict[str, list] = {name: [] for name in PIECE_FIGURES}
-            texts, ids, scores, others = (batch.column(i) for i in range(1, 5))
-            for i in range(batch.num_rows):
-                best = ids[i].values.to_numpy()
-                points = scores[i].as_py()
-                second = [
-                    pieces.apply_edits(best, [(e["first"], e["drop"], e["ids"]) for e in edits])
-                    for edits in others[i].as_py()
-                ]
-                text = texts[i].as_py() or ""
-                rows["n_pieces"].append(len(best))
-                rows["score"].append(points[0])
-                rows["margin"].append(points[0] - points[1] if len(points) > 1 else None)
-                rows["n_best"].append(len(points))
-                rows["ids_sha256"].append(hashlib.sha256(best.astype("<i4").tobytes()).hexdigest())
-                rows["next_pieces"].append(len(second[0]) if second else None)
-                rows["round_trip"].append(vocabulary.decode(best) == text)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(rows[k], t) for k, t in PIECE_FIGURES.items()]],
-                ["doc_id", *PIECE_FIGURES],
-            )
-
-    return encoded.select("doc_id", "text", "ids", "scores", "alternatives").mapInArrow(
-        run,
-        "doc_id long, n_pieces long, score double, margin double, n_best int, ids_sha256 string, "
-        "next_pieces long, round_trip boolean",
-    )
-
-
 PIECE_FIGURES = {
+    "doc_id": pa.int64(),
     "n_pieces": pa.int64(),
     "score": pa.float64(),
     "margin": pa.float64(),
@@ -127,13 +93,43 @@ PIECE_FIGURES = {
 }
 
 
+def piece_figures(doc_id: int | None, text: str, found: pieces.Encoded, known: pieces.Pieces) -> tuple:
+    """What the query tells of a text's segmentations, and whether the best decodes to the text."""
+    best, scores, others = found
+    return (
+        doc_id,
+        len(best),
+        scores[0],
+        scores[0] - scores[1] if len(scores) > 1 else None,
+        len(scores),
+        hashlib.sha256(best.astype("<i4").tobytes()).hexdigest(),
+        len(pieces.apply_edits(best, others[0])) if others else None,
+        known.decode(best) == text,
+    )
+
+
 @query
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best segmentations of all documents, and whether the best decodes to the text."""
     path = f"{TOKENIZERS}/piece_bpe_32k.model"
-    documents = table(spark, sf_dir, "documents")
-    encoded = pieces.encode(documents, path, SEGMENTATIONS, keep=("doc_id", "text"))
-    return digests(encoded, path)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                piece_figures(batch.column(0)[i].as_py(), text, found, pieces.load(path))
+                for i, text, found in pieces.segmented(batch.column(1), path, SEGMENTATIONS)
+            ]
+            columns = zip(zip(*rows, strict=True), PIECE_FIGURES.values(), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in columns], list(PIECE_FIGURES)
+            ) if rows else pa.RecordBatch.from_pylist([], pa.schema(PIECE_FIGURES))
+
+    # One pass: the ids of a text are turned into figures where they are found.
+    return table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(
+        run,
+        "doc_id long, n_pieces long, score double, margin double, n_best int, ids_sha256 string, "
+        "next_pieces long, round_trip boolean",
+    )
 
 
 # Language identification

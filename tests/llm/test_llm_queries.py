@@ -27,7 +27,11 @@ def test_same_as_sql(spark, database, name):
     assert want.equals(got.astype(want.dtypes.to_dict()))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+# Compared with brute force in their own files.
+ROWS_OF_OTHER_KINDS = {"op11_turns", "op13_packing"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - ROWS_OF_OTHER_KINDS))
 def test_one_row_for_each_document(spark, name):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     got = QUERIES[name](spark, SF)
@@ -35,5 +39,5 @@ def test_one_row_for_each_document(spark, name):
     assert ids == sorted(r["doc_id"] for r in documents.select("doc_id").collect())
 
 
-def test_ten_operators():
-    assert sorted({int(n.split("_")[0][2:]) for n in QUERIES}) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted({int(n.split("_")[0][2:]) for n in QUERIES}) == list(range(1, 14))
