@@ -105,6 +105,50 @@ def top(source: str, by: str, tie: str, k: int) -> str:
     return f"SELECT * FROM ({source}) ORDER BY {by} DESC NULLS LAST, {tie} LIMIT {k}"
 
 
+def topic_passes(topics: int = 5, passes: int = 15) -> list[str]:
+    """Expectation-maximisation from the stated start, pass by pass."""
+    each = range(topics)
+
+    def listed(form: str) -> str:
+        return ", ".join(form.format(k=k) for k in each)
+
+    total = " + ".join(f"t{k} * p{k}" for k in each)
+    start = "(CAST('0x' || substr(md5(word || ':{k}'), 1, 8) AS BIGINT) / 4294967296.0 + 0.01)"
+    ctes = [
+        f"cells AS MATERIALIZED (SELECT post_id, word, count(*) AS n FROM (SELECT post_id,"
+        f" unnest({words('clean_text')}) AS word FROM cleaned) GROUP BY 1, 2)",
+        f"begun AS MATERIALIZED (SELECT word, {listed(start + ' AS p{k}')} FROM (SELECT DISTINCT word FROM cells))",
+        f"w0 AS MATERIALIZED (SELECT word, {listed('p{k} / (SELECT sum(p{k}) FROM begun) AS p{k}')} FROM begun)",
+        f"m0 AS (SELECT DISTINCT post_id, {listed(f'CAST({1 / topics} AS DOUBLE) AS t{{k}}')} FROM cells)",
+    ]
+    for i in range(passes):
+        weighed = (
+            f"(SELECT post_id, word, n, {listed('n * t{k} * p{k} / z AS c{k}')} FROM"
+            f" (SELECT *, {total} AS z FROM cells JOIN {{m}} USING (post_id) JOIN w{i} USING (word)))"
+        )
+        ctes += [
+            f"m{i + 1} AS MATERIALIZED (SELECT post_id,"
+            f" {listed(f'(sum(c{{k}}) + 0.1) / (sum(n) + {topics} * 0.1) AS t{{k}}')}"
+            f" FROM {weighed.format(m=f'm{i}')} GROUP BY post_id)",
+            f"s{i + 1} AS MATERIALIZED (SELECT word, {listed('sum(c{k}) AS p{k}')}"
+            f" FROM {weighed.format(m=f'm{i}')} GROUP BY word)",
+            f"w{i + 1} AS MATERIALIZED (SELECT word, "
+            + listed(f"(p{{k}} + 0.01) / (SELECT sum(p{{k}}) + count(*) * 0.01 FROM s{i + 1}) AS p{{k}}")
+            + f" FROM s{i + 1})",
+        ]
+    unpivoted = " UNION ALL ".join(
+        f"SELECT {k} AS topic, word, round(p{k}, 9) AS weight FROM w{passes}" for k in each
+    )
+    shares = "[" + listed("round(t{k}, 6)") + "]"
+    return [
+        *ctes,
+        "keywords AS (SELECT topic, word, weight, row_number() OVER (PARTITION BY topic"
+        f" ORDER BY weight DESC, word) AS rank FROM ({unpivoted}) QUALIFY rank <= 10)",
+        f"dominant AS (SELECT post_id, list_position(s, list_max(s)) - 1 AS topic FROM"
+        f" (SELECT post_id, {shares} AS s FROM m{passes}))",
+    ]
+
+
 def oracle() -> dict[str, str]:
     stop = _strings(schema.stopwords())
     cleaned = f"cleaned AS (SELECT *, {clean('text')} AS clean_text FROM posts)"
@@ -254,22 +298,12 @@ arcs AS (
   SELECT src AS a, dst AS b, weight FROM edges UNION ALL SELECT dst, src, weight FROM edges
 )"""
     reach = "reach(id, root) AS (SELECT a, a FROM arcs UNION SELECT r.id, arcs.b FROM reach r JOIN arcs ON arcs.a = r.root)"
-    rounds = ["label0 AS (SELECT DISTINCT a AS id, a AS label FROM arcs)"]
-    for i in range(5):
-        rounds.append(f"""
-label{i + 1} AS MATERIALIZED (
-  SELECT id, label FROM (
-    SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) AS nth
-    FROM (SELECT arcs.b AS id, l.label, sum(weight) AS votes
-          FROM arcs JOIN label{i} l ON l.id = arcs.a GROUP BY 1, 2))
-  WHERE nth = 1
-)""")
     communities = f"""
 SELECT label AS community, count(*) AS size, CAST(coalesce(sum(posts), 0) AS BIGINT) AS posts,
   round(coalesce(sum(total) / nullif(sum(posts), 0), 0.0), 6) AS avg_engagement
-FROM label5 LEFT JOIN (
+FROM settled LEFT JOIN (
   SELECT username, count(*) AS posts, sum({chart_total}) AS total FROM posts
-  WHERE username IS NOT NULL GROUP BY username) u ON u.username = label5.id
+  WHERE username IS NOT NULL GROUP BY username) u ON u.username = settled.id
 GROUP BY label"""
 
     # Until the labels repeat: they stay, or two states take turns; then the smaller of the two.
@@ -286,10 +320,11 @@ state(n, id, label, last, older) AS (
   WHERE n = 0 OR EXISTS (SELECT 1 FROM state WHERE label <> last)
     AND (n = 1 OR EXISTS (SELECT 1 FROM state WHERE label <> older))
 )"""
-    settled = """
+    last_round = """
 settled AS (
   SELECT id, least(label, last) AS label FROM state WHERE n = (SELECT max(n) FROM state)
 )"""
+    settled = (links(), edges, both_ways, rounds_on, last_round)
 
     day = "strftime(ts, '%Y-%m-%d')"
     best_tags = top(tag_counts, "n", "hashtag", 5)
@@ -569,16 +604,30 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             "SELECT id, min(root) AS component FROM reach GROUP BY id",
             links(), edges, both_ways, reach,
         ),
-        "communities": query(
-            "SELECT id, label AS community FROM label5", links(), edges, both_ways, *rounds
-        ),
-        "community_summary": query(communities, links(), edges, both_ways, *rounds),
-        "communities_settled": query(
-            "SELECT id, label AS community FROM settled",
-            links(), edges, both_ways, rounds_on, settled,
-        ),
-        "community_summary_settled": query(
-            communities.replace("label5", "settled"), links(), edges, both_ways, rounds_on, settled
+        "communities": query("SELECT id, label AS community FROM settled", *settled),
+        "community_summary": query(communities, *settled),
+        "communities_settled": query("SELECT id, label AS community FROM settled", *settled),
+        "community_summary_settled": query(communities, *settled),
+        "communities_numbered": query(
+            "SELECT id, CAST(dense_rank() OVER (ORDER BY label) AS INTEGER) AS community FROM settled",
+            *settled,
+        ),
+        "topic_keywords": query(
+            "SELECT topic, CAST(rank AS INTEGER) AS rank, word, weight FROM keywords", cleaned, *topic_passes()
+        ),
+        "topic_model": query(
+            "SELECT topic, string_agg(word, ', ' ORDER BY rank) AS words FROM keywords GROUP BY topic",
+            cleaned, *topic_passes(),
+        ),
+        "topic_distribution": query(
+            "SELECT topic, count(*) AS n FROM dominant JOIN posts USING (post_id) GROUP BY topic",
+            cleaned, *topic_passes(),
+        ),
+        "topic_evolution": query(
+            f"SELECT day, topic, n, round(n / sum(n) OVER (PARTITION BY day) * 100, 6) AS percentage"
+            f" FROM (SELECT {day} AS day, topic, count(*) AS n FROM dominant JOIN posts USING (post_id)"
+            " WHERE ts IS NOT NULL GROUP BY 1, 2)",
+            cleaned, *topic_passes(),
         ),
         "topic_terms": query(
             f"SELECT {day} AS day, count(*) AS posts, CAST(sum(len({words('clean_text')})) AS BIGINT)"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from chatterscope import schema
 from chatterscope.checks import fixtures
 from chatterscope.functions import metrics, sentiment, text
 from chatterscope.operators import (
+    communities,
     components,
     engagement,
     geo,
@@ -336,30 +336,27 @@ on_posts("interaction_nodes", lambda p: graph.interaction_nodes(network(p)))
 on_posts("graph_stats", lambda p: graph.graph_stats(network(p)))
 on_posts("top_mentioned", graph.top_mentioned)
 on_posts("connected_components", lambda p: components.connected_components(network(p)))
-# The SQL unrolls as many rounds.
-COMMUNITY_ROUNDS = 5
-on_posts(
-    "communities", lambda p: components.label_propagation(network(p), rounds=COMMUNITY_ROUNDS)
-)
+on_posts("communities", lambda p: components.label_propagation(network(p)))
 on_posts(
     "community_summary",
-    lambda p: components.community_summary(
-        components.label_propagation(network(p), rounds=COMMUNITY_ROUNDS), p
-    ),
-)
-# The whole job: until the labels settle.
-on_posts("communities_settled", lambda p: components.label_propagation(network(p)))
-on_posts(
-    "community_summary_settled",
     lambda p: components.community_summary(components.label_propagation(network(p)), p),
 )
+# The names they had beside a labelling of five rounds.
+QUERIES["communities_settled"] = QUERIES["communities"]
+QUERIES["community_summary_settled"] = QUERIES["community_summary"]
+
+
+@query
+def communities_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settled communities, numbered from 1 in the order of their names."""
+    settled = components.label_propagation(network(fixtures.posts(spark, sf_dir)))
+    return communities.number_communities(settled.withColumnRenamed("community", "component"))
 
 
 # The enriched table: texts are cleaned once, reports read what was written.
 
 
-@lru_cache(maxsize=4)
-def _enriched(application: str, spark: SparkSession, sf_dir: str) -> str:
+def _enriched(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "enriched")
     sources.write_posts(features.enrich(fixtures.posts(spark, sf_dir)), path)
     return path
@@ -367,8 +364,7 @@ def _enriched(application: str, spark: SparkSession, sf_dir: str) -> str:
 
 def on_enriched(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _enriched(spark.sparkContext.applicationId, spark, sf_dir)
-        return build(sources.load_posts(spark, path))
+        return build(sources.load_posts(spark, _enriched(spark, sf_dir)))
 
     QUERIES[name] = run
 
@@ -381,14 +377,8 @@ on_enriched("enriched_geo_sentiment", geo.geo_sentiment)
 # Topics
 
 
-@lru_cache(maxsize=4)
-def _fitted(application: str, spark: SparkSession, sf_dir: str):
-    return topics.fit_topics(fixtures.posts(spark, sf_dir))
-
-
 def fitted(spark: SparkSession, sf_dir: str):
-    """One model per session and data folder serves all four topic queries."""
-    return _fitted(spark.sparkContext.applicationId, spark, sf_dir)
+    return topics.fit_topics(fixtures.posts(spark, sf_dir))
 
 
 @query
@@ -413,12 +403,12 @@ def topic_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the model is fed: how many posts have a text, and how many words their term vectors
-    hold, per day."""
-    vectors = topics.with_vectors(topics.documents(fixtures.posts(spark, sf_dir)))
-    return vectors.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
-        F.count("*").alias("posts"), F.sum(topics.terms_held(F.col("features"))).alias("words")
-    )
+    """What the model is fed: how many posts have a text, and how many words, per day."""
+    p = fixtures.posts(spark, sf_dir)
+    fed = trends.bag_of_words(p).groupBy("post_id").agg(F.sum("n").alias("n"))
+    return p.select("post_id", "ts").join(fed, "post_id").groupBy(
+        F.date_format("ts", "yyyy-MM-dd").alias("day")
+    ).agg(F.count("*").alias("posts"), F.sum("n").alias("words"))
 
 
 @query

@@ -10,13 +10,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatterscope.operators.components import connected_components
 from chatterscope.operators.graph import vertices as vertices_of
 from chatterscope.plans.joins import SALT, hot_keys, salt_rows, salted_join, spread_rows
 from chatterscope.plans.lineage import cut_lineage
+from chatterscope.plans.numbering import numbered
 
 
 ROUNDS_PER_CUT = 10
@@ -170,23 +170,6 @@ def split_communities(edges: DataFrame) -> DataFrame:
 
 
 def number_communities(components: DataFrame) -> DataFrame:
-    """(id, community): components numbered from 1 in the order of their names.
-
-    Names are dealt out by range, numbered inside their part, and shifted by the sizes of the
-    parts before, so no task holds them all.
-    """
-    named = cut_lineage(
-        components.select("component")
-        .distinct()
-        .repartitionByRange("component")
-        .withColumn("part", F.spark_partition_id())
-    )
-    sizes = {r["part"]: r["count"] for r in named.groupBy("part").count().collect()}
-    shift, before = {}, 0
-    for part in sorted(sizes):
-        shift[part], before = before, before + sizes[part]
-    pairs = [F.lit(x) for item in shift.items() for x in item]
-    offset = F.element_at(F.create_map(*pairs), F.col("part")) if pairs else F.lit(0)
-    place = F.row_number().over(W.partitionBy("part").orderBy("component"))
-    numbers = named.select("component", (place + offset).cast("int").alias("community"))
+    """(id, community): components numbered from 1 in the order of their names."""
+    numbers = numbered(components, "component", "community", first=1)
     return salted_join(components, numbers, "component", by=["id"]).select("id", "community")
