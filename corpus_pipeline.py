@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from chatterscope.llm import contamination, pieces, quality, secrets, similar
 from chatterscope.llm.queries import (
     QUALITY_BAR,
-    SEGMENTATIONS,
     TOKENIZERS,
     quality_model,
     table,
@@ -56,7 +55,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, and the pieces of the best segmentation with its score."""
     encoded = pieces.encode(
-        docs, f"{TOKENIZERS}/piece_bpe_32k.model", SEGMENTATIONS, keep=("doc_id", "lang", "source")
+        docs, f"{TOKENIZERS}/piece_bpe_32k.model", n=1, keep=("doc_id", "lang", "source")
     )
     return encoded.select(
         "doc_id",
