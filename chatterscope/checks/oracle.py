@@ -649,6 +649,31 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             tags,
         ),
     }
+    # All charts of the roll-up, each by its own query.
+    def chart(name: str, day: str = "NULL", item: str = "NULL", part: str = "NULL", n: str = "n", value: str = "NULL") -> str:
+        columns = f"CAST({day} AS VARCHAR), CAST({item} AS VARCHAR), CAST({part} AS VARCHAR)"
+        return f"SELECT '{name}', {columns}, CAST({n} AS BIGINT), CAST({value} AS DOUBLE) FROM ({found[name]})"
+
+    shown = [
+        chart("top_hashtags", item="hashtag"),
+        chart("sentiment_distribution", item="sentiment"),
+        chart("sentiment_trends", day="day", item="sentiment", value="percentage"),
+        chart("location_counts", item="location_name"),
+        chart("geo_sentiment", item="location_name", part="sentiment", value="percentage"),
+        chart("most_active_users", item="username", n="posts"),
+        chart("user_growth", day="day", n="new_users", value="cumulative_users"),
+        *[
+            f"SELECT 'key_metrics', NULL, '{m}', NULL, CAST({m} AS BIGINT), NULL FROM ({found['key_metrics']})"
+            for m in ("total_posts", "unique_users", "total_engagement", "positive_percent")
+        ],
+    ]
+    for name in ("chart_rollup", "chart_refresh"):
+        found[name] = (
+            "SELECT * FROM (" + " UNION ALL ".join(f"({x})" for x in shown)
+            + ") AS charts(chart, day, item, part, n, value)"
+        )
+    found["word_frequencies_heavy"] = found["word_frequencies"]
+    found["search_posts_indexed"] = found["search_posts"]
     # The same reports, read from the enriched table.
     for name in ("key_metrics", "sentiment_trends", "geo_sentiment"):
         found[f"enriched_{name}"] = found[name]

@@ -17,12 +17,15 @@ from chatterscope.operators import (
     engagement,
     geo,
     graph,
+    heavy,
+    rollups,
     tables,
     topics,
     trends,
 )
 from chatterscope.plans import features
 from chatterscope.plans.lineage import cut_lineage, scratch_path
+from chatterscope.sources import indexed
 from chatterscope.sources import posts as sources
 from chatterscope.streaming import hashtags as streams
 
@@ -374,6 +377,42 @@ on_enriched("enriched_sentiment_trends", trends.sentiment_trends)
 on_enriched("enriched_geo_sentiment", geo.geo_sentiment)
 
 
+# One roll-up for all charts, and its refresh after a day has changed.
+
+
+@query
+def chart_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "rollup")
+    rollups.write_rollup(fixtures.posts(spark, sf_dir), path)
+    return rollups.chart_rows(rollups.read_rollup(spark, path))
+
+
+@query
+def chart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day comes in part first, is rolled up, completed, and counted again on its own."""
+    p = fixtures.posts(spark, sf_dir)
+    changed = p.agg(F.date_add(F.min(F.to_date("ts")), 3)).first()[0]
+    late = (F.to_date("ts") == F.lit(changed)) & (F.col("post_id") % 2 == 0)
+    kept, path = scratch_path(spark, "by-day"), scratch_path(spark, "rollup")
+    sources.write_posts(p.filter(~F.coalesce(late, F.lit(False))), kept)
+    rollups.write_rollup(sources.load_posts(spark, kept), path)
+    sources.rewrite_days(p.filter(F.to_date("ts") == F.lit(changed)), kept)
+    rollups.refresh_rollup(spark, kept, path, [changed])
+    return rollups.chart_rows(rollups.read_rollup(spark, path))
+
+
+on_posts("word_frequencies_heavy", heavy.word_frequencies_heavy)
+
+
+@query
+def search_posts_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hits, from the files that hold one of the hashtags."""
+    kept, index = scratch_path(spark, "posts"), scratch_path(spark, "tags")
+    indexed.write_indexed(fixtures.posts(spark, sf_dir), kept, index)
+    hits = indexed.search_indexed(spark, kept, index)
+    return hits.select("post_id", "author_id", "text")
+
+
 # Topics
 
 

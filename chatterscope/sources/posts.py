@@ -124,6 +124,13 @@ def write_posts(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     by_day.write.mode(mode).partitionBy("day").parquet(path)
 
 
+def rewrite_days(df: DataFrame, path: str) -> None:
+    """Replace the days that ``df`` has in posts kept by day; the other days stay as they are."""
+    by_day = df.withColumn("day", F.to_date("ts")).hint("rebalance", "day")
+    writer = by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day").parquet(path)
+
+
 def posts_to_lines(posts: DataFrame) -> DataFrame:
     """One line per post with a text, for line-oriented feeds."""
     return posts.filter(F.col("text").isNotNull()).select(one_line(F.col("text")).alias("value"))
