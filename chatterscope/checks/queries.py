@@ -349,6 +349,9 @@ QUERIES["communities_settled"] = QUERIES["communities"]
 QUERIES["community_summary_settled"] = QUERIES["community_summary"]
 
 
+on_posts("community_split", lambda p: communities.split_communities(network(p)))
+
+
 @query
 def communities_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The settled communities, numbered from 1 in the order of their names."""

@@ -1,7 +1,9 @@
 """Community split by edge betweenness (Girvan and Newman 2002), as joins.
 
-The method searches shortest paths from every vertex for each edge it removes, so it is
-meant for graphs of interest after filtering and pruning;
+Shortest paths are searched from a bounded batch of vertices at a time, and each batch's flow is
+added to running sums by edge, so the rows held are those of a batch, times the vertices. Once
+an edge is removed, only the component that lost it is searched again. The work stays vertices
+times edges for each removal, so the method is for graphs of interest;
 ``components.label_propagation`` is the cheap way for a whole network.
 """
 
@@ -20,6 +22,8 @@ from chatterscope.plans.numbering import numbered
 
 
 ROUNDS_PER_CUT = 10
+# Vertices from which paths are searched at a time.
+SOURCES = 2_000
 
 
 def simple_edges(edges: DataFrame) -> DataFrame:
@@ -64,26 +68,23 @@ class Arcs:
 
 
 class ShortestPaths:
-    """Breadth-first levels (source, node, paths) from all sources at once.
+    """Breadth-first levels (source, node, paths) from some sources at once.
 
-    ``reached`` counts the connected (source, node) pairs: it falls when a component
-    falls apart.
+    With ``goal`` the search ends where that vertex is found.
     """
 
-    def __init__(self, arcs: Arcs, nodes: DataFrame) -> None:
-        self.arcs = arcs
-        start = nodes.select(
+    def __init__(self, arcs: Arcs, sources: DataFrame, goal: str | None = None) -> None:
+        self.arcs, self.found = arcs, False
+        start = sources.select(
             F.col("id").alias("source"), F.col("id").alias("node"), F.lit(1.0).alias("paths")
         )
         self.levels = [start]
-        self.reached = 0
-        while True:
+        while not self.found:
             level = cut_lineage(self._next_level())
-            found = level.count()
-            if found == 0:
+            if level.isEmpty():
                 break
-            self.reached += found
             self.levels.append(level)
+            self.found = goal is not None and not level.filter(F.col("node") == goal).isEmpty()
 
     def _next_level(self) -> DataFrame:
         reached = (
@@ -113,8 +114,8 @@ class ShortestPaths:
             .select("source", "node", "next", (F.col("share") * F.col("above")).alias("flow"))
         )
 
-    def betweenness(self) -> DataFrame:
-        """(src, dst, betweenness) by backward accumulation (Brandes 2001)."""
+    def flows(self) -> DataFrame | None:
+        """(src, dst, flow) by backward accumulation (Brandes 2001); none where no arc is used."""
         carried = []
         below = None
         for depth in range(len(self.levels) - 1, 0, -1):
@@ -132,23 +133,37 @@ class ShortestPaths:
                         F.sum("flow").alias("passed")
                     )
                 )
-        # Every pair of vertices was counted from both its ends.
-        half = F.round(F.sum("flow") / 2, 9)
-        return (
-            reduce(DataFrame.unionAll, carried).groupBy("src", "dst").agg(half.alias("betweenness"))
-        )
+        return summed(reduce(DataFrame.unionAll, carried)) if carried else None
+
+
+def summed(flows: DataFrame) -> DataFrame:
+    return flows.groupBy("src", "dst").agg(F.sum("flow").alias("flow"))
 
 
-def edge_betweenness(edges: DataFrame) -> DataFrame:
+def betweenness(arcs: Arcs, sources: DataFrame, batch: int = SOURCES) -> DataFrame | None:
+    """(src, dst, betweenness) of the arcs that paths from ``sources`` use, a batch at a time.
+
+    The sources have to be whole components: every pair is then counted from both its ends.
+    """
+    numbers = cut_lineage(numbered(sources, "id", "number"))
+    total = None
+    for first in range(0, numbers.count(), batch):
+        some = numbers.filter((F.col("number") >= first) & (F.col("number") < first + batch))
+        flows = ShortestPaths(arcs, some.select("id")).flows()
+        if flows is not None:
+            total = cut_lineage(flows if total is None else summed(total.unionAll(flows)))
+    half = F.round(F.col("flow") / 2, 9)
+    return None if total is None else total.select("src", "dst", half.alias("betweenness"))
+
+
+def edge_betweenness(edges: DataFrame, batch: int = SOURCES) -> DataFrame:
     """(src, dst, betweenness) of a graph's edges, self-loops left out."""
     simple = simple_edges(edges)
-    paths = ShortestPaths(Arcs(simple), vertices_of(simple))
-    if not paths.reached:
-        return simple.withColumn("betweenness", F.lit(0.0))
-    return paths.betweenness()
+    found = betweenness(Arcs(simple), vertices_of(simple), batch)
+    return simple.withColumn("betweenness", F.lit(0.0)) if found is None else found
 
 
-def split_communities(edges: DataFrame) -> DataFrame:
+def split_communities(edges: DataFrame, batch: int = SOURCES) -> DataFrame:
     """(id, community): components once the edges of highest betweenness are taken out.
 
     One edge goes per round, the smallest (src, dst) on a tie, until one component falls
@@ -157,15 +172,20 @@ def split_communities(edges: DataFrame) -> DataFrame:
     """
     vertices = cut_lineage(vertices_of(edges))
     arcs = Arcs(simple_edges(edges))
-    before = None
-    while True:
-        paths = ShortestPaths(arcs, vertices)
-        if not paths.reached or (before is not None and paths.reached < before):
-            break
-        before = paths.reached
+    parts = cut_lineage(connected_components(arcs.edges(), vertices))
+    scores = betweenness(arcs, vertices, batch)
+    while scores is not None:
         # One row reaches the driver per round: the edge to remove.
-        best = paths.betweenness().orderBy(F.desc("betweenness"), "src", "dst").first()
-        arcs.remove(best["src"], best["dst"])
+        best = scores.orderBy(F.desc("betweenness"), "src", "dst").first()
+        a, b = best["src"], best["dst"]
+        arcs.remove(a, b)
+        if not ShortestPaths(arcs, vertices.filter(F.col("id") == a), goal=b).found:
+            break
+        # Paths of other components are as they were.
+        part = parts.filter(F.col("id") == a).first()["component"]
+        own = parts.filter(F.col("component") == part).select("id")
+        others = scores.join(own.select(F.col("id").alias("src")), "src", "left_anti")
+        scores = cut_lineage(others.unionByName(betweenness(arcs, own, batch)))
     return number_communities(connected_components(arcs.edges(), vertices))
 
 

@@ -4,6 +4,7 @@ from collections import defaultdict, deque
 import pytest
 from pyspark.sql import functions as F
 
+from chatterscope.checks.queries import QUERIES
 from chatterscope.operators import communities, components, engagement, graph
 from chatterscope.plans import joins
 
@@ -139,6 +140,29 @@ def test_split_by_brute_force(spark):
     assert got == {v: numbers[root] for v, root in expected.items()}
 
 
+def test_split_in_small_batches_over_several_components(spark):
+    # Two components: the second holds the bridge that goes last.
+    edges = [(0, 1), (0, 2), (1, 2), (2, 3), (0, 3), (1, 3)]
+    edges += [(a + 10, b + 10) for a, b in random_edges(5, 10, 14)]
+    table = edge_table(spark, edges)
+    scores = {(r["src"], r["dst"]): r["betweenness"] for r in communities.edge_betweenness(table, batch=3).collect()}
+    assert scores == pytest.approx(brute_betweenness(edges), abs=1e-6)
+    got = {r["id"]: r["community"] for r in communities.split_communities(table, batch=5).collect()}
+    expected = brute_split(edges)
+    numbers = {root: i + 1 for i, root in enumerate(sorted(set(expected.values())))}
+    assert got == {v: numbers[root] for v, root in expected.items()}
+
+
+def test_query_splits_the_network_of_the_tables(spark):
+    folder = "/root/testdata/sf0.001"
+    got = {r["id"]: r["community"] for r in QUERIES["community_split"](spark, folder).collect()}
+    rows = QUERIES["interaction_edges"](spark, folder).select("src", "dst").collect()
+    edges = sorted({(r["src"], r["dst"]) for r in rows if r["src"] != r["dst"]})
+    expected = brute_split(edges)
+    numbers = {root: i + 1 for i, root in enumerate(sorted(set(expected.values())))}
+    assert got == {v: numbers[root] for v, root in expected.items()}
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_components_by_brute_force(spark, monkeypatch, hot):
     if hot:

@@ -25,7 +25,11 @@ def ordered(rows):
     return sorted(rows, key=lambda r: [(v is None, "" if v is None else v) for v in r])
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Compared with a search in plain loops in test_graph.
+WITHOUT_SQL = {"community_split"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_matches_sql(spark, sql, name):
     df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
@@ -39,7 +43,7 @@ def test_matches_sql(spark, sql, name):
 
 def test_every_query_is_covered(spark):
     assert set(QUERIES) <= set(contract.queries())
-    assert set(QUERIES) <= set(contract.oracle_sql())
+    assert set(QUERIES) - WITHOUT_SQL <= set(contract.oracle_sql())
 
 
 def test_entry_is_the_flagship(spark):
