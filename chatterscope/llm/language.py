@@ -105,7 +105,8 @@ def fit(
     # Only so many hash values are let in, so the sample is bounded whatever the table holds.
     sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     if sample.isEmpty():
-        sample = rows
+        # Few ids, each with many rows: as many rows of smallest hash.
+        sample = rows.orderBy(F.xxhash64("doc_id", "text")).limit(sample_docs)
     counts = (
         sample.select("text", "lang")
         .mapInArrow(_word_counts, "lang string, word binary, n long")
@@ -206,11 +207,13 @@ def predict(
 
     A text that is null or has no letter is ``und`` with score 0, as is every text without a
     model; a text of letters that the model knows nothing of takes the first language, by
-    name, with the score of a guess. Ties go to the first language by name.
+    name, with the score of a guess. Ties go to the first language by name. Where a kept
+    column is called lang_pred or score, the result's name has an underscore more.
     """
+    results = [texts.fresh(n, list(keep)) for n in ("lang_pred", "score")]
     if model is None:
         return documents.select(
-            *keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
+            *keep, F.lit(UNKNOWN).alias(results[0]), F.lit(0.0).alias(results[1])
         )
     shared = documents.sparkSession.sparkContext.broadcast(model)
     columns = keep if text in keep else (*keep, text)
@@ -230,10 +233,10 @@ def predict(
             best[none], score[none] = len(fitted.languages), 0.0
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:n], pa.array(names[best], pa.string()), pa.array(score)],
-                [*batch.schema.names[:n], "lang_pred", "score"],
+                [*batch.schema.names[:n], *results],
             )
 
-    schema = documents.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    schema = documents.select(*keep).schema.add(results[0], "string").add(results[1], "double")
     return documents.select(*columns).mapInArrow(run, schema)
 
 

@@ -217,7 +217,9 @@ def score(
 
     Every row gets a score: a null or empty text that of texts without words, and where
     there is no model each text 0.5. Repeated rows score alike; an empty table gives none.
+    Where a kept column has the result's name, that has an underscore more.
     """
+    name = texts.fresh(name, list(keep))
     if model is None:
         return documents.select(*keep, F.lit(0.5).alias(name))
     shared = documents.sparkSession.sparkContext.broadcast(model)
