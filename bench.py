@@ -47,6 +47,9 @@ HEADLINE = [
     "stream_hashtags",
     "stream_trending",
     "csv_roundtrip",
+    "chart_rollup",
+    "word_frequencies_heavy",
+    "unique_users_by_span",
 ]
 
 

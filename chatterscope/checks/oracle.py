@@ -520,6 +520,12 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             f" min({day}) AS day FROM posts WHERE username IS NOT NULL GROUP BY username)"
             " GROUP BY day)"
         ),
+        "unique_users_by_span": query(
+            "SELECT strftime(d.day, '%Y-%m-%d') AS day, count(DISTINCT username) AS users, TRUE AS within"
+            " FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM posts WHERE ts IS NOT NULL AND username"
+            " IS NOT NULL) d JOIN posts p ON CAST(p.ts AS DATE) BETWEEN d.day - 6 AND d.day"
+            " WHERE username IS NOT NULL GROUP BY d.day"
+        ),
         "posts_by_hour": query(
             "SELECT CAST(hour(ts) AS INT) AS hour, count(*) AS n FROM posts GROUP BY 1"
         ),

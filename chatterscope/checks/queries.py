@@ -19,6 +19,7 @@ from chatterscope.operators import (
     graph,
     heavy,
     rollups,
+    spans,
     tables,
     topics,
     trends,
@@ -270,6 +271,16 @@ on_posts("term_counts", trends.term_counts)
 on_posts("bag_of_words", trends.bag_of_words)
 on_posts("hashtag_trends", trends.hashtag_trends)
 on_posts("user_growth", trends.user_growth)
+
+
+@query
+def unique_users_by_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of each seven days, and whether the estimate from sketches is within its bound."""
+    found = spans.unique_users_by_span(fixtures.posts(spark, sf_dir))
+    off = F.abs(F.col("estimate") - F.col("users"))
+    return found.select("day", "users", (off <= F.col("users") * spans.error_bound()).alias("within"))
+
+
 on_posts("posts_by_hour", lambda p: trends.posts_by(features.with_time(p), "hour"))
 on_posts("posts_by_weekday", lambda p: trends.posts_by(features.with_time(p), "day_of_week"))
 
