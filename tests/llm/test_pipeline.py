@@ -99,3 +99,48 @@ def test_pieces_spell_the_texts(steps):
 
 def test_run_is_all_stages(spark, steps):
     assert rows(corpus_pipeline.run(spark, SF).drop("ids")) == rows(steps["pieces"][1].drop("ids"))
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, _quality string, base string, ids string"
+
+
+def odd_documents(spark):
+    """Nulls in every column, empty and long texts, repeated rows and clashing names."""
+    texts = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    known = texts.selectExpr(
+        "doc_id", "text", "lang", "source", "n_chars", "'q' AS _quality", "'b' AS base", "'i' AS ids"
+    )
+    rows = [
+        (None, None, None, None, None, None, None, None),
+        (900001, None, "en", "s", 0, "q", "b", "i"),
+        (900002, "", None, "s", 0, "q", "b", "i"),
+        (900003, " \n\t", "en", None, 3, None, "b", "i"),
+        (900004, "long words " * 3000, "en", "s", 33000, "q", "b", None),
+        (900005, "password=abcdefghijkl0123456789 é🎉", "en", "s", 33, "q", "b", "i"),
+        (None, "a text without an id", "en", "s", 20, "q", "b", "i"),
+    ]
+    return known.unionByName(spark.createDataFrame(rows * 2, ODD)), len(rows)
+
+
+@pytest.mark.parametrize("place", range(5))
+def test_stages_take_odd_rows(spark, place):
+    docs, _ = odd_documents(spark)
+    name, stage = corpus_pipeline.STAGES[place]
+    out = stage(spark, docs, SF)
+    got = out.collect()
+    if place == 4:
+        assert len(got) == docs.count()
+        return
+    assert out.columns == docs.columns
+    by_id = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    if name == "similar":
+        assert sum(r["doc_id"] == 900004 for r in got) == 1
+        assert sum(r["doc_id"] == 900001 for r in got) == 2
+        assert sum(r["doc_id"] is None for r in got) == 4
+    if name == "secrets":
+        assert len(got) == docs.count()
+        assert by_id[900005]["text"] == "password=[secret] é🎉" and by_id[900005]["n_chars"] == 20
+        assert by_id[900001]["text"] is None
+    if name == "benchmark":
+        assert {900001, 900002, 900003, 900005} <= set(by_id)
+    assert stage(spark, docs.limit(0), SF).count() == 0
