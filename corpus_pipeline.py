@@ -3,6 +3,9 @@
 Each stage works on all rows that the one before it left and gives the columns of documents,
 the last one the encoded texts. ``run`` writes each stage's rows to the shared folder and
 reads them again, so nothing is computed twice and a lost executor costs one stage at most.
+
+All stages but the last keep every column, whatever it is called; helper columns take free
+names. Whole texts are read, however long. An empty table goes through as one.
 """
 
 from __future__ import annotations
@@ -26,7 +29,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the bar; the labels teach it."""
+    """Documents whose quality score reaches the bar; the labels teach it.
+
+    A null text is judged as an empty one. Repeated rows score alike, so all stay or go; without
+    labels every document scores 0.5 and stays.
+    """
     model = quality_model(docs, table(spark, sf_dir, "labels"))
     name = fresh("_quality", docs.columns)
     scored = quality.score(docs, model, keep=tuple(docs.columns), name=name)
@@ -34,17 +41,27 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its 5-word shingles."""
+    """One document of each group that shares four fifths of its 5-word shingles.
+
+    Of a group the row of smallest doc_id stays, one of them if rows repeat. Rows without an id
+    or a word all stay, as do unlike texts under one id.
+    """
     return similar.without_similar(docs, similar.Rule(words=5, percent=80))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a part of a benchmark item."""
+    """Documents without a part of a benchmark item.
+
+    Null and empty texts hold none and stay, as do rows without an id. Repeated rows go alike.
+    """
     return contamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their secrets masked; n_chars follows the text."""
+    """The documents with their secrets masked; n_chars follows the text.
+
+    No row goes. A null text stays null, with a null n_chars; repeated rows are masked alike.
+    """
     clean = secrets.redact(docs, secrets.train(docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -53,7 +70,11 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, and the pieces of the best segmentation with its score."""
+    """doc_id, lang, source, and the pieces of the best segmentation with its score.
+
+    A row for each document, repeated ones and null ids included. A null text is encoded as an
+    empty one; of equal scores the search's first counts, which depends on the text only.
+    """
     encoded = pieces.encode(
         docs, f"{TOKENIZERS}/piece_bpe_32k.model", n=1, keep=("doc_id", "lang", "source")
     )
