@@ -278,7 +278,8 @@ def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Any 13 aligned words with two replaced hold four in a row that are not.
+# Any 13 aligned words with two replaced, or 9 with one, hold four in a row that are not; items of
+# fewer words are aligned by each single word that they share.
 ORACLE["op8_contamination"] = r"""
 WITH d AS (
     SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words
@@ -296,7 +297,14 @@ bg AS (
     SELECT item_id, q, item[q] || ' ' || item[q + 1] || ' ' || item[q + 2] || ' ' || item[q + 3] AS gram
     FROM (SELECT item_id, item, unnest(range(1, len(item) - 2)) AS q FROM b WHERE len(item) >= 9)
 ),
-diagonals AS (SELECT DISTINCT doc_id, item_id, p - q AS diagonal FROM dg JOIN bg USING (gram)),
+dw AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d),
+bw AS (
+    SELECT item_id, unnest(item) AS word, unnest(range(1, len(item) + 1)) AS q FROM b WHERE len(item) < 9
+),
+diagonals AS (
+    SELECT doc_id, item_id, p - q AS diagonal FROM dg JOIN bg USING (gram)
+    UNION SELECT doc_id, item_id, p - q FROM dw JOIN bw USING (word)
+),
 compared AS (
     SELECT doc_id, item_id, diagonal, len(item) AS item_words, least(13, len(item)) AS size,
         list_transform(range(1, len(item) + 1), lambda i:

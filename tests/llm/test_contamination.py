@@ -113,3 +113,31 @@ def test_pipeline_drops_copies_of_short_items(spark, tmp_path):
 
     found = QUERIES["op8_contamination"](spark, str(tmp_path)).collect()
     assert [tuple(r) for r in found] == [(1, 1, 3, 3)]
+
+
+def test_sql_of_the_query_takes_items_of_every_length(spark, tmp_path):
+    """One word replaced at each place of items of 1 to 14 words, and each one whole."""
+    import duckdb
+
+    from chatterscope.llm.queries import ORACLE, QUERIES
+
+    items, documents = [], []
+    for size in range(1, 15):
+        item = [f"w{size}x{i}" for i in range(size)]
+        items.append((size, " ".join(item)))
+        for place in range(-1, size):
+            words = [w if i != place else "other" for i, w in enumerate(item)]
+            documents.append((100 * size + place + 1, "before " + " ".join(words) + " after"))
+    items += [(90, None), (91, ""), (None, "w3x0 w3x1 w3x2")]
+    documents += [(9000, None), (9001, ""), (9002, "w1x0 w1x0"), (None, "w1x0")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in QUERIES["op8_contamination"](spark, str(tmp_path)).select(
+        "doc_id", "item_id", "matched_words", "item_words").collect()]
+    database = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        database.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = database.execute(
+        f"SELECT doc_id, item_id, matched_words, item_words FROM ({ORACLE['op8_contamination']})"
+    ).fetchall()
+    assert sorted(got) == sorted(want) and len(want) > 60
