@@ -345,6 +345,55 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
         rf"list_filter({words('clean_text')}, lambda w: regexp_matches(w, '^\p{{L}}+$')"
         f" AND w NOT IN ({stop}))"
     )
+    # Dictionaries learned from the feed.
+    worded = f"worded AS (SELECT post_id, {words('clean_text')} AS w FROM cleaned)"
+    seeds = "seeds(word, polarity) AS (VALUES " + ", ".join(
+        f"('{word}', CAST({value} AS DOUBLE))" for word, value in schema.LEXICON
+    ) + ")"
+    learned = (
+        cleaned, worded, seeds,
+        "placed_words AS (SELECT post_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, w"
+        " FROM worded)",
+        "opened AS (SELECT p.post_id, p.i, w, CASE WHEN p.i > 1 AND w[p.i - 1] IN"
+        f" ({_strings(schema.NEGATORS)}) THEN -sign(polarity) ELSE sign(polarity) END AS side"
+        " FROM placed_words p JOIN seeds USING (word))",
+        "near AS (SELECT side, w[i + d] AS word FROM opened, (VALUES (-5), (-4), (-3), (-2), (-1),"
+        " (1), (2), (3), (4), (5)) t(d) WHERE i + d BETWEEN 1 AND len(w))",
+        "sides AS (SELECT word, CAST(count(*) FILTER (side > 0) AS DOUBLE) AS good,"
+        " CAST(count(*) FILTER (side < 0) AS DOUBLE) AS ill FROM near GROUP BY word)",
+        "chances AS (SELECT word, good + ill AS support,"
+        " (good + 0.5::DOUBLE) * ((SELECT sum(ill) FROM sides) + 1) AS p,"
+        " (ill + 0.5::DOUBLE) * ((SELECT sum(good) FROM sides) + 1) AS q FROM sides)",
+        "learned AS (SELECT word, (p - q) / (p + q) AS polarity, CAST(support AS BIGINT) AS support"
+        f" FROM chances WHERE support >= 10 AND word NOT IN ({stop})"
+        r" AND regexp_matches(word, '^\p{L}+$') AND word NOT IN (SELECT word FROM seeds)"
+        " UNION ALL SELECT word, polarity, NULL FROM seeds)",
+    )
+    learned_scores = (
+        "hits AS (SELECT post_id, avg(l.polarity * CASE WHEN i > 1 AND w[i - 1] IN"
+        f" ({_strings(schema.NEGATORS)}) THEN -0.5 ELSE 1.0 END) AS score"
+        " FROM placed_words JOIN learned l USING (word) GROUP BY post_id)"
+    )
+    endings = ", ".join(
+        f"({i}, '{ending}', '{put}')" for i, (ending, put) in enumerate(schema.NOUN_ENDINGS)
+    )
+    irregular = ", ".join(f"('{form}', '{lemma}')" for form, lemma in schema.LEMMA_EXCEPTIONS)
+    ruled = (
+        cleaned,
+        f"spoken AS (SELECT post_id, {alphabetic} AS w FROM cleaned)",
+        "vocabulary AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM spoken)"
+        " GROUP BY word)",
+        f"endings(rank, ending, put) AS (VALUES {endings})",
+        f"irregular(form, lemma) AS (VALUES {irregular})",
+        "candidates AS (SELECT word AS form, n, rank,"
+        " left(word, length(word) - length(ending)) || put AS lemma FROM vocabulary JOIN endings"
+        " ON ends_with(word, ending) AND length(word) - length(ending) >= 2"
+        " AND NOT (ending = 's' AND ends_with(word, 'ss')))",
+        "ruled AS (SELECT form, arg_min(lemma, rank) AS lemma, any_value(n) AS n FROM candidates"
+        " WHERE lemma IN (SELECT word FROM vocabulary)"
+        " AND form NOT IN (SELECT form FROM irregular) GROUP BY form"
+        " UNION ALL SELECT form, lemma, n FROM vocabulary JOIN irregular ON word = form)",
+    )
     user_columns = ", ".join(
         f"coalesce(CAST(u.{c} AS VARCHAR), 'N/A') AS {c}"
         for c in ("username", "followers", "following", "total_posts")
@@ -434,6 +483,21 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             " LEFT JOIN hits USING (post_id)",
             cleaned, known, feed, positions, large_hits,
         ),
+        "lexicon_learned": query("SELECT * FROM learned", *learned),
+        "sentiment_learned": query(
+            "SELECT CASE WHEN coalesce(score, 0) > 0.1 THEN 'Positive'"
+            " WHEN coalesce(score, 0) < -0.1 THEN 'Negative' ELSE 'Neutral' END AS sentiment,"
+            " count(*) AS n FROM posts LEFT JOIN hits USING (post_id) GROUP BY 1",
+            *learned, learned_scores,
+        ),
+        "lemma_rules": query("SELECT * FROM ruled", *ruled),
+        "lemmatize_rules": query(
+            "SELECT post_id, coalesce(value, '') AS value FROM posts LEFT JOIN (SELECT post_id,"
+            " string_agg(coalesce(lemma, word), ' ' ORDER BY i) AS value FROM (SELECT post_id,"
+            " unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM spoken)"
+            " LEFT JOIN ruled ON form = word GROUP BY post_id) USING (post_id)",
+            *ruled,
+        ),
         "lemmatize_large": query(
             f"SELECT post_id, {joined('list_transform(w, lambda x: x || chr(115))')} AS value FROM"
             f" (SELECT post_id, {words('clean_text')} AS w FROM (SELECT *, {clean('text')}"
@@ -678,6 +742,7 @@ LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hashtag, count(*) AS n FROM tags GROU
             "SELECT * FROM (" + " UNION ALL ".join(f"({x})" for x in shown)
             + ") AS charts(chart, day, item, part, n, value)"
         )
+    found["stream_hashtags_recovered"] = found["stream_hashtags"]
     found["word_frequencies_heavy"] = found["word_frequencies"]
     found["search_posts_indexed"] = found["search_posts"]
     # The same reports, read from the enriched table.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from chatterscope.functions import metrics, sentiment, text
 from chatterscope.operators import (
     communities,
     components,
+    dictionaries,
     engagement,
     geo,
     graph,
@@ -28,6 +30,7 @@ from chatterscope.plans import features
 from chatterscope.plans.lineage import cut_lineage, scratch_path
 from chatterscope.sources import indexed
 from chatterscope.sources import posts as sources
+from chatterscope.streaming import commits
 from chatterscope.streaming import hashtags as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +170,28 @@ on_posts(
 )
 
 
+# Dictionaries learned from the feed
+
+on_posts("lexicon_learned", dictionaries.learn_lexicon)
+on_posts("lemma_rules", lambda p: dictionaries.learn_lemmas(dictionaries.vocabulary(p)))
+
+
+@query
+def sentiment_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts by label under the lexicon that the posts themselves taught."""
+    p = fixtures.posts(spark, sf_dir)
+    scored = features.with_sentiment(p, dictionaries.learn_lexicon(p))
+    return scored.groupBy("sentiment").agg(F.count("*").alias("n"))
+
+
+@query
+def lemmatize_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each post as lemmas by rule."""
+    p = fixtures.posts(spark, sf_dir)
+    lemmas = dictionaries.learn_lemmas(dictionaries.vocabulary(p))
+    return features.with_tokens(p, lemmas=lemmas).select("post_id", spaced("tokens").alias("value"))
+
+
 # Dictionaries of all words of the documents, over a feed that holds posts twice: the join routes.
 
 
@@ -494,6 +519,28 @@ def stream_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("hashtag").agg(F.count("*").alias("n"))
 
 
+@query
+def stream_hashtags_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream, stopped by a failure between a batch's data and its record, started
+    again, and read by its records."""
+    feed, out = scratch_path(spark, "feed"), scratch_path(spark, "committed")
+    state = scratch_path(spark, "stream-state")
+    sources.write_lines(fixtures.posts(spark, sf_dir), feed)
+
+    def lost(*_) -> None:
+        raise ConnectionError("stopped before the record")
+
+    for writer in (commits.committed_batches(out, lost), commits.committed_batches(out)):
+        lines = streams.read_lines(spark, feed)
+        started = streams.start_hashtags(lines, state, writer, available_now=True)
+        try:
+            started.awaitTermination()
+        except StreamingQueryException as stopped:
+            if "stopped before the record" not in str(stopped):
+                raise
+    return commits.read_committed(spark, out).groupBy("hashtag").agg(F.count("*").alias("n"))
+
+
 @query
 def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream all posts by day windows; a last row closes the feed, so no day stays open."""

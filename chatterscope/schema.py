@@ -140,6 +140,27 @@ LEXICON = [("great", 0.8), ("good", 0.7), ("bad", -0.7), ("terrible", -1.0)]
 LEMMAS = [("posts", "post"), ("cities", "city"), ("mice", "mouse"), ("tags", "tag")]
 NEGATORS = ["not", "no", "never"]
 
+# Endings of English plural nouns and what takes their place, in the order they
+# are tried, and irregular forms. Callers may pass their own.
+NOUN_ENDINGS = [
+    ("ses", "s"),
+    ("ves", "f"),
+    ("xes", "x"),
+    ("zes", "z"),
+    ("ches", "ch"),
+    ("shes", "sh"),
+    ("men", "man"),
+    ("ies", "y"),
+    ("s", ""),
+]
+LEMMA_EXCEPTIONS = [
+    ("children", "child"),
+    ("feet", "foot"),
+    ("geese", "goose"),
+    ("mice", "mouse"),
+    ("teeth", "tooth"),
+]
+
 
 def places(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PLACES, PLACE_SCHEMA)
