@@ -1,15 +1,20 @@
 """Repeated passages of words: recurring phrases, found everywhere by automata, judged by window.
 
-Every window of ``window`` words chooses its phrase, the ``phrase`` consecutive words of least
-hash in it. Equal windows choose equal phrases, so a window that recurs has a phrase that recurs.
-
-1. The chosen phrases of all documents are counted; those of several texts, or chosen several
-   times in one, recur.
-2. Documents go, with the recurring phrases that concern them, to tasks. A task compiles an
-   Aho-Corasick automaton for each shard, a block of documents, from their recurring phrases,
-   and streams the block's texts through it: it locates every occurrence.
-3. A unit is a run of windows whose phrase is one occurrence. Units meet by phrase, in order of
-   document and place; a window is a repeat if an equal one came before.
+Every window of ``window`` words has a least phrase, the ``phrase`` consecutive words of least
+hash in it. Equal windows have equal least phrases, so that of a window that recurs recurs.
+
+1. The least phrases of all windows of all documents are counted; those of several texts, or
+   of several places in one, are confirmed to recur.
+2. Documents go, with the confirmed phrases that concern them, to tasks. A shard is a block of
+   documents: a task writes out the words of the block's phrases, compiles them into an
+   Aho-Corasick automaton, and streams the block's texts through it.
+3. The automaton's hits, and nothing else, say which windows are judged: a window goes by the hit
+   of least hash in it, a window without a hit is no repeat. A unit is a run of windows that go
+   by one hit. Units meet by phrase, in order of document and place; a window is a repeat
+   if an equal one came before.
+
+Two equal windows hold the same hits in all that matters: their least phrase is confirmed and
+concerns both documents, and no other hit can be less.
 
 Documents of equal text are one, as all windows but the first document's are repeats.
 """
@@ -38,7 +43,7 @@ class Rule:
 
 @dataclass
 class Choice:
-    """The windows of some texts: start word, text, and the place of the chosen phrase."""
+    """Windows of some texts: start word, text, and the place of the phrase they go by."""
 
     start: np.ndarray
     text: np.ndarray
@@ -46,21 +51,29 @@ class Choice:
     phrases: np.ndarray
 
 
-def choose(hashes: np.ndarray, offsets: np.ndarray, rule: Rule) -> Choice:
-    """Let every window of words choose its leftmost phrase of least hash."""
-    phrases = texts.windows(hashes, rule.phrase)
-    n = len(hashes) - rule.window + 1
+NO_HIT = np.uint64((1 << 64) - 1)
+
+
+def choose(phrases: np.ndarray, offsets: np.ndarray, rule: Rule) -> Choice:
+    """Let every window of words go by the leftmost of its least phrases.
+
+    ``phrases`` has a hash for each word that a phrase may begin at, or NO_HIT; windows of
+    none are left out.
+    """
+    reach = rule.window - rule.phrase
+    n = len(phrases) - reach
     if n <= 0:
         none = np.zeros(0, np.int64)
         return Choice(none, none, none, phrases)
     best, shift = phrases[:n].copy(), np.zeros(n, np.int64)
-    for j in range(1, rule.window - rule.phrase + 1):
+    for j in range(1, reach + 1):
         other = phrases[j : j + n]
         better = other < best
         np.copyto(best, other, where=better)
         shift[better] = j
     owner = texts.owners(offsets)
-    start = np.flatnonzero(owner[:n] == owner[rule.window - 1 :])
+    inside = owner[:n] == owner[rule.window - 1 : rule.window - 1 + n]
+    start = np.flatnonzero(inside & (best != NO_HIT))
     return Choice(start, owner[start], start + shift[start], phrases)
 
 
@@ -73,7 +86,8 @@ def _phrases(rows: DataFrame, rule: Rule) -> DataFrame:
             digests = batch.column(0).to_numpy()
             for row, end, data, offsets in texts.chunks(batch.column(1)):
                 found = texts.words(data, offsets)
-                chosen = choose(found.hashes, found.offsets, rule)
+                phrases = texts.windows(found.hashes, rule.phrase)
+                chosen = choose(phrases, found.offsets, rule)
                 new = np.zeros(end - row, bool)
                 for i, digest in enumerate(digests[row:end].tolist()):
                     new[i] = digest not in seen
@@ -111,12 +125,12 @@ def _units(whole: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
             column = pa.array(unpacked(batch.column(2)), pa.large_binary())
             for row, end, data, offsets in texts.chunks(column):
                 found = texts.words(data, offsets)
-                chosen = choose(found.hashes, found.offsets, rule)
                 phrases = np.unique(
                     np.concatenate([recurring[i].values.to_numpy() for i in range(row, end)])
                 ).view(np.uint64)
-                located = _located(data, found, chosen, np.sort(phrases), rule)
-                out = _unit_batch(found, chosen, located, rule, ids[row:end], digests[row:end])
+                automaton = compiled(data, found, np.sort(phrases), rule)
+                hits = located(data, found, automaton, rule)
+                out = _unit_batch(found, hits, rule, ids[row:end], digests[row:end])
                 if out is not None:
                     yield out
 
@@ -127,55 +141,62 @@ def _units(whole: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _located(
-    data: np.ndarray, found: texts.Words, chosen: Choice, phrases: np.ndarray, rule: Rule
-) -> np.ndarray:
-    """Whether a recurring phrase begins at each word, by an automaton of the block's phrases."""
+def compiled(data: np.ndarray, found: texts.Words, phrases: np.ndarray, rule: Rule):
+    """Automaton of the words of the ``phrases`` (sorted hashes), each once; None of no phrases."""
     import ahocorasick
 
-    begins = np.zeros(len(found.hashes) + 1, bool)
-    place = np.unique(chosen.place)
-    if not len(place) or not len(phrases):
-        return begins
-    hashes = chosen.phrases[place]
+    n = len(found.hashes) - rule.phrase + 1
+    if n <= 0 or not len(phrases):
+        return None
+    hashes = texts.windows(found.hashes, rule.phrase)
     at = np.searchsorted(phrases, hashes)
     at[at == len(phrases)] = 0
-    recurs = phrases[at] == hashes
-    _, first = np.unique(hashes[recurs], return_index=True)
-    # One character per byte, words joined by one blank; texts by a character of no byte.
-    raw = data.tobytes().decode("latin-1")
+    owner = texts.owners(found.offsets)
+    known = np.flatnonzero((phrases[at] == hashes) & (owner[:n] == owner[rule.phrase - 1 :]))
+    _, first = np.unique(hashes[known], return_index=True)
+    raw = _characters(data)
     automaton = ahocorasick.Automaton()
-    starts, ends = found.starts.tolist(), found.ends.tolist()
-    for i in place[recurs][first].tolist():
-        words = [raw[starts[j] : ends[j]] for j in range(i, i + rule.phrase)]
-        automaton.add_word(f" {' '.join(words)} ", True)
+    for i in known[first].tolist():
+        words = range(i, i + rule.phrase)
+        pattern = " ".join([raw[found.starts[j] : found.ends[j]] for j in words])
+        automaton.add_word(f" {pattern} ", int(hashes[i]))
     if not len(automaton):
-        return begins
+        return None
     automaton.make_automaton()
+    return automaton
+
+
+def _characters(data: np.ndarray) -> str:
+    """One character per byte, so that places in the text are places in the bytes."""
+    return data.tobytes().decode("latin-1")
+
+
+def located(data: np.ndarray, found: texts.Words, automaton, rule: Rule) -> np.ndarray:
+    """The hash of the phrase that the automaton finds to begin at each word, else NO_HIT."""
+    begins = np.full(max(0, len(found.hashes) - rule.phrase + 1), NO_HIT)
+    if automaton is None:
+        return begins
+    raw = _characters(data)
+    starts, ends = found.starts.tolist(), found.ends.tolist()
     length = found.ends - found.starts + 1
-    for text in range(len(found.offsets) - 1):
-        a, b = int(found.offsets[text]), int(found.offsets[text + 1])
-        if b - a < rule.phrase:
+    for a, b in zip(found.offsets[:-1].tolist(), found.offsets[1:].tolist(), strict=True):
+        if b - a < rule.window:
             continue
         words = [raw[s:e] for s, e in zip(starts[a:b], ends[a:b], strict=True)]
-        # The blank behind each word, in the text with a blank in front.
-        blanks = np.cumsum(length[a:b])
-        hits = [last for last, _ in automaton.iter(f" {' '.join(words)} ")]
+        # A hit ends at the blank behind its last word, in the text with a blank in front.
+        hits = list(automaton.iter(f" {' '.join(words)} "))
         if hits:
-            begins[a + np.searchsorted(blanks, hits) - rule.phrase + 1] = True
+            last, phrase = zip(*hits, strict=True)
+            place = np.searchsorted(np.cumsum(length[a:b]), last) - rule.phrase + 1
+            begins[a + place] = np.array(phrase, np.uint64)
     return begins
 
 
 def _unit_batch(
-    found: texts.Words,
-    chosen: Choice,
-    located: np.ndarray,
-    rule: Rule,
-    ids: np.ndarray,
-    digests: np.ndarray,
+    found: texts.Words, hits: np.ndarray, rule: Rule, ids: np.ndarray, digests: np.ndarray
 ) -> pa.RecordBatch | None:
-    mine = located[chosen.place]
-    start, text, place = chosen.start[mine], chosen.text[mine], chosen.place[mine]
+    chosen = choose(hits, found.offsets, rule)
+    start, text, place = chosen.start, chosen.text, chosen.place
     if not len(start):
         return None
     windows = texts.windows(found.hashes, rule.window)[start]
@@ -191,7 +212,7 @@ def _unit_batch(
     ends = pa.array(np.append(at, len(start)) * 8, pa.int32())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(chosen.phrases[place[at]].view(np.int64)),
+            pa.array(hits[place[at]].view(np.int64)),
             pa.array(unit.view(np.int64)),
             pa.array(ids[text[at]]),
             pa.array(digests[text[at]]),

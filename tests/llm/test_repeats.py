@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from chatterscope.llm import passages, substrings
+from chatterscope.llm import passages, substrings, texts
 
 SCHEMA = "doc_id long, text string, id string, digest int, start int"
 
@@ -48,6 +48,32 @@ def test_windows_that_start_earlier_go(spark):
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == by_id
 
 
+def test_the_hits_of_the_automaton_name_the_windows():
+    """Without hits there are no units; with those of one phrase, the windows that hold it."""
+    rule = passages.Rule(window=4, phrase=2)
+    rows = ["a b c d e f g".encode(), "x a b c d y".encode(), b"", "a b".encode()]
+    data = np.frombuffer(b"".join(rows), np.uint8)
+    offsets = np.cumsum([0, *map(len, rows)])
+    found = texts.words(data, offsets)
+    ids = np.arange(4)
+
+    def units(hits):
+        batch = passages._unit_batch(found, hits, rule, ids, ids)
+        if batch is None:
+            return []
+        return [(r["id"], r["start"], r["n"]) for r in batch.to_pylist()]
+
+    bare = passages.located(data, found, None, rule)
+    assert (bare == passages.NO_HIT).all() and units(bare) == []
+    phrase = texts.windows(found.hashes, 2)[[2]]
+    hits = passages.located(data, found, passages.compiled(data, found, phrase, rule), rule)
+    assert np.flatnonzero(hits != passages.NO_HIT).tolist() == [2, 10]
+    assert set(hits[[2, 10]].tolist()) == set(phrase.tolist())
+    # "c d" is in the windows that begin at words 0 to 2 and, of the second text, 1 and 2.
+    assert units(hits) == [(0, 0, 3), (1, 1, 2)]
+    assert passages.compiled(data, found, np.zeros(0, np.uint64), rule) is None
+
+
 def bytes_brute(rows, size):
     by_string = {}
     for d, text in rows:
