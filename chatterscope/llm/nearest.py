@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 
 from chatterscope.plans.lineage import cut_lineage
 
-# Vectors in a candidate block, and in a query block. 64 doubles each make 2 MB and 8 MB.
-CANDIDATES = 4096
-QUERIES = 16384
+# Bytes of doubles in a candidate block and in a query block, whatever the vectors' length;
+# a vector longer than a block has one of its own.
+CANDIDATE_BYTES = 2 << 20
+QUERY_BYTES = 8 << 20
+# Bytes of the query vectors that one pass over all vectors broadcasts.
+ROUND_BYTES = 64 << 20
 # A tile is worked off in strips of so many queries, which bounds its memory.
 STRIP = 128
 # Integer sums below 2 ** 24 are exact in single precision: 127 * 127 * 1024 < 2 ** 24.
@@ -49,7 +52,7 @@ def usable(vectors: DataFrame, vector_id: str, vector: str) -> DataFrame:
 
 
 def blocks(vectors: DataFrame, size: int) -> DataFrame:
-    """Pack (id, v) into blocks of vectors of the same length, within each partition."""
+    """Pack (id, v) into blocks of ``size`` bytes of vectors of the same length, by partition."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -63,7 +66,7 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
                 mine = np.flatnonzero(lengths == dims)
                 rows = flat[begin[mine][:, None] + np.arange(dims)]
                 waiting.setdefault(int(dims), []).append((ids[mine], rows))
-                if sum(len(i) for i, _ in waiting[int(dims)]) >= size:
+                if sum(r.nbytes for _, r in waiting[int(dims)]) >= size:
                     yield from _packed(int(dims), waiting.pop(int(dims)), size)
         for dims, parts in waiting.items():
             yield from _packed(dims, parts, size)
@@ -74,8 +77,9 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
 def _packed(dims: int, parts: list, size: int) -> Iterator[pa.RecordBatch]:
     ids = np.concatenate([i for i, _ in parts]).astype(np.int64)
     rows = np.concatenate([r for _, r in parts])
-    for at in range(0, len(ids), size):
-        some, data = ids[at : at + size], rows[at : at + size]
+    step = max(1, size // (8 * dims))
+    for at in range(0, len(ids), step):
+        some, data = ids[at : at + step], rows[at : at + step]
         yield pa.RecordBatch.from_pydict(
             {
                 "n": pa.array([len(some)], pa.int32()),
@@ -191,14 +195,14 @@ def nearest(
     other columns are not read.
     """
     asked = usable(queries, vector_id, vector).groupBy("id").agg(F.min("v").alias("v"))
-    count = asked.count()
-    if count == 0:
+    total = asked.agg(F.sum(F.size("v").cast("long") * 8)).first()[0]
+    if total is None:
         return vectors.sparkSession.createDataFrame([], RANKED)
-    rounds = -(-count // QUERIES)
+    rounds = -(-total // ROUND_BYTES)
     asked = asked.withColumn("round", F.pmod(F.xxhash64("id"), F.lit(rounds)).cast("int"))
     if rounds > 1:
         asked = cut_lineage(asked)
-    packed = blocks(usable(vectors, vector_id, vector), CANDIDATES)
+    packed = blocks(usable(vectors, vector_id, vector), CANDIDATE_BYTES)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heaps: dict[int, list] = {}
@@ -237,8 +241,8 @@ def nearest(
 
     partial = None
     for number in range(rounds):
-        # A round has about QUERIES vectors, whatever the size of the tables: a bounded broadcast.
-        one = blocks(asked.filter(F.col("round") == number).coalesce(1), 2 * QUERIES)
+        # A round has about ROUND_BYTES, whatever the size of the tables: a bounded broadcast.
+        one = blocks(asked.filter(F.col("round") == number).coalesce(1), QUERY_BYTES)
         one = one.toDF("qn", "dims", "qids", "qdata")
         tiles = packed.join(F.broadcast(one), "dims")
         tiles = tiles.select("dims", "n", "ids", "data", "qn", "qids", "qdata")

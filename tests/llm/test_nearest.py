@@ -30,7 +30,9 @@ def search(spark, rows, k=4):
 
 
 def test_same_as_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(nearest, "QUERIES", 4)
+    monkeypatch.setattr(nearest, "ROUND_BYTES", 4 * 6 * 8)
+    monkeypatch.setattr(nearest, "QUERY_BYTES", 2 * 6 * 8)
+    monkeypatch.setattr(nearest, "CANDIDATE_BYTES", 7 * 6 * 8)
     random = np.random.default_rng(1)
     rows = [(i, random.normal(size=6).round(1).tolist()) for i in range(60)]
     rows += [(60 + i, rows[3][1]) for i in range(8)]  # ties
@@ -72,3 +74,12 @@ def test_bar_of_a_block_is_over_ids():
     nearest.tile(nearest.Coded(rows[:1]), ids[:1], nearest.Coded(rows), ids, heaps, 10)
     exact = sorted((np.linalg.norm(rows[2 * i] - rows[0]), i) for i in range(1, 40))[:10]
     assert [-i for _, i in sorted(heaps[0], reverse=True)] == [i for _, i in exact]
+
+
+def test_blocks_are_bounded_by_bytes(spark):
+    rows = [(i, [float(i + 1)] * n) for n, ids in ((3, range(50)), (40, range(50, 61)), (900, [70, 71])) for i in ids]
+    df = spark.createDataFrame(rows, "id long, v array<double>").coalesce(1)
+    packed = nearest.blocks(df, 1000).collect()
+    assert all(r["n"] == 1 or len(r["data"]) <= 1000 for r in packed)
+    assert sorted(i for r in packed for i in np.frombuffer(r["ids"], np.int64).tolist()) == [i for i, _ in rows]
+    assert max(r["n"] for r in packed) == 1000 // 24 and {r["n"] for r in packed if r["dims"] == 900} == {1}
