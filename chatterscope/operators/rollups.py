@@ -15,10 +15,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatterscope.functions.metrics import as_number, present, row_total
-from chatterscope.functions.text import extract_hashtags
 from chatterscope.operators.ranking import top
 from chatterscope.operators.trends import share_of
-from chatterscope.plans.features import with_place, with_sentiment
+from chatterscope.plans.features import TAGS, with_sentiment, with_tags_and_place
 from chatterscope.schema import CHART_METRICS
 
 TOTAL, SENTIMENT, PLACE, USER, HASHTAG = "total", "sentiment", "place", "user", "hashtag"
@@ -43,13 +42,13 @@ def daily_rollup(posts: DataFrame, metrics: Sequence[str] = CHART_METRICS) -> Da
     names = present(posts, metrics)
     engagement = row_total([as_number(m) for m in names]) if names else F.lit(0.0)
     none = F.lit(0.0)
-    scored = with_place(with_sentiment(posts)).select(
+    scored = with_tags_and_place(with_sentiment(posts)).select(
         F.to_date("ts").alias("day"),
         engagement.alias("engagement"),
         "sentiment",
         "location_name",
         "username",
-        extract_hashtags(F.col("text")).alias("hashtags"),
+        F.col(TAGS).alias("hashtags"),
     )
     own = F.array(
         _fact(TOTAL, F.lit(""), F.col("engagement")),

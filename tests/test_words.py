@@ -75,3 +75,34 @@ def test_scorer_gets_bounded_parts(spark):
     df = spark.range(64).select(F.repeat(F.lit("x"), 1_000_000).alias("text")).coalesce(1)
     scored = sentiment.score_text(df, lambda part: part.str.len() * 0.0 + len(part))
     assert scored.agg(F.max("score")).first()[0] <= words.SLICE_BYTES // 1_000_000
+
+
+def test_texts_are_cleaned_together():
+    import sys
+
+    column, calls = pa.array([f"Note {i}, not bad @ann É ñ" for i in range(500)]), []
+    sys.setprofile(lambda frame, event, f: calls.append(f.__name__) if event == "c_call" else None)
+    try:
+        found = words.clean(column)
+    finally:
+        sys.setprofile(None)
+    assert calls.count("translate") < 10 and calls.count("split") < 10
+    assert found.to_pylist() == [["note", "not", "bad", "é", "ñ"]] * 500
+
+
+def test_texts_of_other_alphabets_and_marks_are_cleaned_alike(monkeypatch):
+    texts = ["a\0b @x\0y", "ΟΔΟΣ ΟΔΟΣΑ 🙂İ̇x　日本", None, "\0", "ẞ　Ж٣ж ǅ'", "Ñ\x85µ\xa0×"]
+    want = [["ab", "y"], ["οδος", "οδοσα", "i̇x", "日本"], [], [], ["ß", "жж", "ǆ"], ["ñ", "µ"]]
+    for few in (0, words.FEW):
+        monkeypatch.setattr(words, "FEW", few)
+        assert words.clean(pa.array(texts)).to_pylist() == want
+        assert [words.clean(pa.array([t])).to_pylist()[0] for t in texts] == want
+    assert words.clean(pa.array(texts), True).to_pylist()[0] == ["ab", "y"]
+
+
+def test_rollup_extracts_hashtags_once(spark, capsys):
+    from chatterscope.operators import rollups
+
+    posts = spark.createDataFrame([(1, "great #NYC #AI", "ann", None)], "post_id long, text string, username string, ts timestamp")
+    rollups.daily_rollup(posts).explain()
+    assert capsys.readouterr().out.count("regexp_extract_all(") == 1
