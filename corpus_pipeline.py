@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from chatterscope.llm import contamination, pieces, quality, secrets, similar
 from chatterscope.llm.queries import (
     QUALITY_BAR,
+    SEGMENTATIONS,
     TOKENIZERS,
     quality_model,
     table,
@@ -70,21 +71,28 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, and the pieces of the best segmentation with its score.
+    """doc_id, lang, source, and the pieces of the best segmentation with its score; how many
+    segmentations were found, how far the second and the last score behind it, and in how many
+    places all of them differ from it.
 
     A row for each document, repeated ones and null ids included. A null text is encoded as an
     empty one; of equal scores the search's first counts, which depends on the text only.
     """
     encoded = pieces.encode(
-        docs, f"{TOKENIZERS}/piece_bpe_32k.model", n=1, keep=("doc_id", "lang", "source")
+        docs, f"{TOKENIZERS}/piece_bpe_32k.model", SEGMENTATIONS, keep=("doc_id", "lang", "source")
     )
+    best = F.get("scores", F.lit(0))
     return encoded.select(
         "doc_id",
         "lang",
         "source",
         F.size("ids").cast("long").alias("n_pieces"),
-        F.get("scores", F.lit(0)).alias("score"),
+        best.alias("score"),
         "ids",
+        F.size("scores").alias("n_best"),
+        (best - F.get("scores", F.lit(1))).alias("margin"),
+        F.when(F.size("scores") > 1, best - F.element_at("scores", -1)).alias("last_margin"),
+        F.size(F.flatten("alternatives")).cast("long").alias("n_edits"),
     )
 
 

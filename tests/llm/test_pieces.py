@@ -84,3 +84,20 @@ def test_round_trip_of_tables(spark):
     for row in encoded.collect():
         for edits in row["alternatives"]:
             pieces.apply_edits(np.array(row["ids"]), [(e["first"], e["drop"], e["ids"]) for e in edits])
+
+
+def test_query_and_pipeline_search_the_three_best(spark, tmp_path):
+    import corpus_pipeline
+    from chatterscope.llm import queries
+
+    text = "the theaning, of!"
+    docs = spark.createDataFrame([(1, text, "en", "x"), (2, None, None, None)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    asked = {r["doc_id"]: r for r in queries.QUERIES["op3_pieces"](spark, str(tmp_path)).collect()}
+    done = {r["doc_id"]: r for r in corpus_pipeline.encode_pieces(spark, docs, "").collect()}
+    ids, scores, edits = pieces.load(PATH).encode(text, 3)
+    for row in (asked[1], done[1]):
+        assert (row["n_best"], row["margin"], row["last_margin"]) == (3, scores[0] - scores[1], scores[0] - scores[2])
+    assert asked[1]["last_pieces"] == len(pieces.apply_edits(ids, edits[1]))
+    assert done[1]["n_edits"] == sum(map(len, edits)) and done[1]["ids"] == ids.tolist()
+    assert (done[2]["n_best"], done[2]["margin"], done[2]["n_edits"]) == (1, None, 0)
