@@ -297,3 +297,30 @@ def test_registered_communities_settle_after_more_than_five_rounds(spark, monkey
     got = {n: {r["id"]: r["community"] for r in queries.QUERIES[n](spark, "").collect()} for n in ("communities", "communities_settled")}
     assert got["communities_settled"] == want
     assert got["communities"] != want
+
+
+@pytest.mark.parametrize("size", [0, 1_000_000])
+def test_paths_by_joins_and_by_arrays_are_the_same(spark, monkeypatch, size):
+    monkeypatch.setattr(communities, "ARRAY_EDGES", size)
+    monkeypatch.setattr(communities, "SLAB", 40)
+    edges = [*random_edges(3, 9, 12), (20, 21), (21, 21)]
+    table = edge_table(spark, edges)
+    simple = [e for e in edges if e[0] != e[1]]
+    scores = {(r["src"], r["dst"]): r["betweenness"] for r in communities.edge_betweenness(table, batch=3).collect()}
+    assert scores == pytest.approx(brute_betweenness(simple), abs=1e-6)
+    expected = brute_split(simple)
+    numbers = {root: i + 1 for i, root in enumerate(sorted(set(expected.values())))}
+    got = {r["id"]: r["community"] for r in communities.split_communities(table).collect()}
+    assert got == {v: numbers[root] for v, root in expected.items()}
+
+
+def test_a_small_component_is_split_without_rounds_by_level(spark, monkeypatch):
+    monkeypatch.setattr(communities, "ShortestPaths", None)
+    names = [(f"é{a}", f"é{b}") for a, b in random_edges(5, 10, 14)]
+    table = spark.createDataFrame(names, "src string, dst string")
+    expected = brute_split(sorted(names))
+    numbers = {root: i + 1 for i, root in enumerate(sorted(set(expected.values())))}
+    got = {r["id"]: r["community"] for r in communities.split_communities(table).collect()}
+    assert got == {v: numbers[root] for v, root in expected.items()}
+    empty = table.limit(0)
+    assert communities.edge_betweenness(empty).isEmpty() and communities.split_communities(empty).isEmpty()
