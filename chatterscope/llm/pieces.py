@@ -33,6 +33,8 @@ UNKNOWN_PENALTY = 10.0
 # Parts that a Python worker remembers, twice as many for a while, and the longest of them.
 REMEMBERED = 120_000
 SHORT = 48
+# Parts whose other segmentations are remembered.
+REMEMBERED_OTHERS = 10_000
 INFINITE = float("inf")
 
 
@@ -90,15 +92,25 @@ class Pieces:
         self.single = {t for t in self.text.values() if len(t) == 1}
         ordinary = [s for s in scores if s > -1e8]
         self.lowest = min(ordinary, default=0.0) - UNKNOWN_PENALTY
-        self.raw = {i: t.replace(BLANK, " ").encode() for i, t in self.text.items()}
-        self.raw |= {i: bytes([b]) for i, b in self.bytes.items()}
+        raw = {i: t.replace(BLANK, " ").encode() for i, t in self.text.items()}
+        raw |= {i: bytes([b]) for i, b in self.bytes.items()}
+        # All of them one after another, where each begins and how long it is (-1: no piece).
+        self.raw = np.frombuffer(b"".join(raw.values()), np.uint8)
+        self.raw_size = np.full(self.size, -1)
+        self.raw_size[list(raw)] = [len(x) for x in raw.values()]
+        self.raw_begin = np.zeros(self.size, np.int64)
+        self.raw_begin[list(raw)] = np.cumsum([0, *map(len, raw.values())])[:-1]
         # The finest cut that goes through no piece.
         self.split = next(
             cut.findall
             for cut in map(re.compile, cuts(self.text.values()))
             if all(cut.findall(t) == [t] for t in self.text.values())
         )
+        self.forget()
+
+    def forget(self) -> None:
         self.memory: tuple[dict[str, Entry], dict[str, Entry]] = ({}, {})
+        self.searched: dict[tuple[str, int], list[Segmentation]] = {}
 
     def spelled(self, character: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in character.encode())
@@ -216,6 +228,17 @@ class Pieces:
         path.reverse()
         return array("i", path).tobytes(), top, gap
 
+    def others(self, part: str, n: int) -> list[Segmentation]:
+        """The n best segmentations of a part without the first, remembered of short parts."""
+        found = self.searched.get((part, n))
+        if found is None:
+            found = self.search(part, n)[1:]
+            if len(part) <= SHORT:
+                if len(self.searched) >= REMEMBERED_OTHERS:
+                    self.searched.clear()
+                self.searched[part, n] = found
+        return found
+
     def entries(self, parts: list[str]) -> list[Entry]:
         young, old = self.memory
         if len(young) > REMEMBERED:
@@ -240,13 +263,17 @@ class Pieces:
         entries = self.entries(parts)
         ids = np.frombuffer(b"".join(map(_IDS, entries)), np.int32)
         score = float(sum(map(_SCORE, entries)))
+        # Only the n - 1 parts that are cheapest to change can differ in the n best. A part
+        # whose others cost without end has none.
         gaps = np.fromiter(map(_GAP, entries), float, len(entries))
-        # Only the n - 1 parts that are cheapest to change can differ in the n best.
-        few = min(n - 1, len(gaps))
-        chosen = np.sort(np.argsort(gaps, kind="stable")[:few])
-        others = {
-            j: self.search(parts[j], n)[1:] for j in chosen.tolist() if parts[j] is not LITERAL
-        }
+        chosen: list[int] = []
+        for _ in range(min(n - 1, len(gaps))):
+            least = int(gaps.argmin())
+            if gaps[least] == INFINITE:
+                break
+            chosen.append(least)
+            gaps[least] = INFINITE
+        others = {j: self.others(parts[j], n) for j in sorted(chosen)}
         ways: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
         for j, found in others.items():
             more = [
@@ -257,17 +284,20 @@ class Pieces:
             ways = heapq.nsmallest(n, ways + more)
         edits = []
         if len(ways) > 1:
-            sizes = np.fromiter((len(e[0]) for e in entries), np.int64, len(entries)) // 4
-            begin = np.cumsum(sizes) - sizes
+            begin = {j: sum(map(len, map(_IDS, entries[:j]))) // 4 for j in others}
             edits = [
-                [(int(begin[j]), int(sizes[j]), others[j][k][1]) for j, k in changes]
+                [(begin[j], len(entries[j][0]) // 4, others[j][k][1]) for j, k in changes]
                 for _, changes in ways[1:]
             ]
         return ids, [score - cost for cost, _ in ways], edits
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids: pieces and bytes joined, the blank in front left out."""
-        raw = b"".join(map(self.raw.__getitem__, ids.tolist()))
+        size = self.raw_size[ids]
+        if len(ids) and (size.min() < 0 or ids.min() < 0):
+            raise KeyError("an id that is no piece")
+        shift = self.raw_begin[ids] - np.cumsum(size) + size
+        raw = self.raw[np.repeat(shift, size) + np.arange(size.sum())].tobytes()
         return raw[raw[:1] == b" " :].decode("utf-8", "replace")
 
 
@@ -330,6 +360,13 @@ def encode(
     results = [fresh(name, list(keep)) for name in ("ids", "scores", "alternatives")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from encoded(batches)
+        finally:
+            # The worker goes on to other work.
+            load(path).forget()
+
+    def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, scores, others, size, begin = [], [], [], 0, 0
             for row, whole, (best, points, edits) in segmented(batch.column(place), path, n):

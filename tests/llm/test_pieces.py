@@ -101,3 +101,36 @@ def test_query_and_pipeline_search_the_three_best(spark, tmp_path):
     assert asked[1]["last_pieces"] == len(pieces.apply_edits(ids, edits[1]))
     assert done[1]["n_edits"] == sum(map(len, edits)) and done[1]["ids"] == ids.tolist()
     assert (done[2]["n_best"], done[2]["margin"], done[2]["n_edits"]) == (1, None, 0)
+
+
+def test_other_segmentations_of_a_part_are_searched_once(monkeypatch):
+    vocabulary = pieces.Pieces(PATH)
+    want, asked = vocabulary.encode("theaning theaning of", 3), []
+    search = vocabulary.search
+    monkeypatch.setattr(vocabulary, "search", lambda part, n: asked.append(part) or search(part, n))
+    vocabulary.forget()
+    got = [vocabulary.encode("theaning theaning of", 3) for _ in range(2)]
+    assert len(asked) == len(set(asked))
+    for ids, scores, edits in got:
+        assert (ids == want[0]).all() and (scores, edits) == want[1:]
+
+
+def test_decode_refuses_what_is_no_piece(vocabulary):
+    assert vocabulary.decode(np.zeros(0, np.int32)) == ""
+    with pytest.raises((KeyError, IndexError)):
+        vocabulary.decode(np.array([vocabulary.size], np.int32))
+    with pytest.raises(KeyError):
+        vocabulary.decode(np.array([0], np.int32))
+
+
+def test_a_task_leaves_no_remembered_parts(spark):
+    df = spark.createDataFrame([(1, "the theaning, of!", "x", 1)], SCHEMA).coalesce(1)
+    pieces.encode(df, PATH, 3).collect()
+
+    def left(batches):
+        import pyarrow as pa
+
+        known = pieces.load(PATH)
+        yield from (pa.RecordBatch.from_pydict({"n": [len(known.memory[0]) + len(known.searched)]}) for _ in batches)
+
+    assert {r["n"] for r in df.mapInArrow(left, "n long").collect()} == {0}
