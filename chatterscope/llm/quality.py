@@ -229,12 +229,15 @@ def score(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            scores = np.zeros(batch.num_rows)
+            # A chunk at a time, as Spark holds a whole batch of what it is given.
             for row, end, counts in term_counts(batch.column(at)):
-                scores[row:end] = fitted.score(counts)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:n], pa.array(scores)], [*batch.schema.names[:n], name]
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[c.slice(row, end - row) for c in batch.columns[:n]],
+                        pa.array(fitted.score(counts)),
+                    ],
+                    [*batch.schema.names[:n], name],
+                )
 
     schema = documents.select(*keep).schema.add(name, "double")
     return documents.select(*columns).mapInArrow(run, schema)

@@ -56,3 +56,28 @@ def test_nothing_to_learn(spark):
     few = spark.createDataFrame([(1, 1), (1, 0), (7, 1)], "doc_id long, quality int")
     one = quality.fit(frame(spark, ["a", "b"]), few)
     assert one.labels.tolist() == [0.0]
+
+
+def test_scores_are_given_to_spark_a_chunk_at_a_time(spark, monkeypatch):
+    from chatterscope.llm import quality, texts
+
+    rows = [(i, f"word{i} and {'more ' * (i % 7)}text", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").coalesce(1)
+    model = quality.fit(df.select("doc_id", "text"), df.select("doc_id", "quality"))
+    want = {r["doc_id"]: r["score"] for r in quality.score(df, model).collect()}
+    assert len(want) == 40
+    counted = []
+
+    class Documents:
+        schema, columns, sparkSession = df.schema, df.columns, spark
+
+        def select(self, *names):
+            self.names = names
+            return self if "text" in names else df.select(*names)
+
+        def mapInArrow(self, run, _):
+            counted.extend(run(df.select(*self.names).toArrow().to_batches()))
+
+    monkeypatch.setattr(texts.chunks, "__defaults__", (100,))
+    quality.score(Documents(), model)
+    assert len(counted) > 5 and {r["doc_id"]: r["score"] for b in counted for r in b.to_pylist()} == want
