@@ -122,3 +122,27 @@ def test_joined_lookups_of_kept_dictionaries_are_alike(spark, monkeypatch):
     got = multiset(sent)
     monkeypatch.setattr(joins, "SENT_ROWS", 0)
     assert multiset(looked_up()) == got
+
+
+def test_large_dictionaries_go_to_the_tasks(spark, monkeypatch):
+    # Beyond the constants of a plan words are still looked up where they lie, and alike in the join.
+    df = spark.createDataFrame([(1, "a not b c"), (None, "a a"), (1, None), (2, "c"), (1, "a not b c")], "post_id long, text string")
+    lexicon = spark.range(30_000).selectExpr("concat('w', id) AS word", "0.5D AS polarity").unionAll(
+        spark.createDataFrame([("a", 0.5), ("b", -1.0), ("a", 0.25), (None, 1.0), ("c", None)], "word string, polarity double")
+    )
+    tokens = df.select("post_id", F.split("text", " ").alias("tokens"))
+    lemmas = lexicon.select(F.col("word").alias("form"), F.concat("word", F.lit("s")).alias("lemma"))
+
+    def both():
+        return features.with_sentiment(df, lexicon).select("post_id", "text", "sentiment_score"), features.lemmatize(tokens, lemmas)
+
+    here = both()
+    assert not any("Exchange" in plan_of(x) for x in here)
+    assert {r["text"]: r["sentiment_score"] for r in here[0].collect()} == {"a not b c": 0.375, "a a": 0.25, None: 0.0, "c": 0.0}
+    got = [multiset(x) for x in here]
+    monkeypatch.setattr(joins, "ENTRY_ROWS", 0)
+    assert [multiset(x) for x in both()] == got
+    pairs = joins.lookup_tokens(tokens, "tokens", lemmas, "form", "lemma")
+    monkeypatch.undo()
+    sent = joins.lookup_tokens(tokens, "tokens", lemmas, "form", "lemma")
+    assert multiset(sent.df) == multiset(pairs.df)
