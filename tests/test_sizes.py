@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from chatterscope.checks import fixtures
 from chatterscope.functions import text
 from chatterscope.operators import dictionaries, tables, trends
 from chatterscope.plans import features, joins
@@ -146,3 +147,51 @@ def test_large_dictionaries_go_to_the_tasks(spark, monkeypatch):
     monkeypatch.undo()
     sent = joins.lookup_tokens(tokens, "tokens", lemmas, "form", "lemma")
     assert multiset(sent.df) == multiset(pairs.df)
+
+
+def test_large_days_are_written_where_they_are(spark, monkeypatch, tmp_path):
+    df = spark.range(400, numPartitions=2).selectExpr("id AS post_id", "timestamp_seconds(id % 2 * 86400) AS ts", "to_date(timestamp_seconds(id % 2 * 86400)) AS day")
+    assert "REBALANCE" in plan_of(sources.placed(df))
+    monkeypatch.setattr(sources, "FILE_ROWS", 50)
+    assert "Exchange" not in plan_of(sources.placed(df))
+    sources.write_posts(df.drop("day"), str(tmp_path / "days"))
+    back = sources.load_posts(spark, str(tmp_path / "days"))
+    assert multiset(back.select("post_id", "ts", "day")) == multiset(df)
+
+
+def test_lines_and_csv_are_compressed_and_read_back(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sources, "LINE_ROWS", 10)
+    df = spark.range(25, numPartitions=1).selectExpr("id AS post_id", "concat('a\n#t', id) AS text")
+    sources.write_lines(df, str(tmp_path / "lines"))
+    assert len(list(Path(tmp_path / "lines").glob("*.txt.gz"))) == 3
+    assert spark.read.text(str(tmp_path / "lines")).filter("value LIKE 'a #t%'").count() == 25
+    sources.write_csv_posts(df, str(tmp_path / "csv"), rows=10, compression="gzip")
+    assert len(list(Path(tmp_path / "csv").glob("*.csv.gz"))) == 3
+    back = sources.load_posts(spark, str(tmp_path / "csv"), "csv")
+    assert multiset(back.select("post_id", "text")) == multiset(df)
+
+
+def test_texts_of_pages_move_once(spark):
+    posts = spark.createDataFrame(
+        [(1, "a", None, 10, "5", "1", "1", "1", "en"), (2, "b", None, 10, "x", "1", "1", "1", "en"), (150, "c", None, 11, "1", "1", "1", None, "de"), (3, None, None, None, "1", "1", "1", "1", None)],
+        "post_id long, text string, ts timestamp, author_id long, likes string, retweets string, replies string, quotes string, lang string",
+    )
+    user = "id long, username string, followers long, following long, total_posts long"
+    users = spark.createDataFrame([(10, "u", 1, 2, 3), (12, "w", 1, 2, 3)], user)
+
+    def read(pages):
+        found = pages.selectExpr("from_json(value, 'data array<struct<id: long, text: string>>, includes struct<users: array<struct<id: long, username: string>>>') AS p")
+        return sorted((sorted((d["id"], d["text"]) for d in r["p"]["data"]), sorted(u["username"] for u in r["p"]["includes"]["users"])) for r in found.collect())
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pages = fixtures.payload_pages(posts, users)
+        # The one join is of authors, each once for a page, and profiles.
+        plan = pages._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") == 1
+        assert "Aggregate [page" in plan[plan.index("Join") :]
+        assert read(pages) == [([(1, "a"), (2, "b"), (3, None)], ["u"]), ([(150, "c")], [])]
+        twice = users.unionAll(spark.createDataFrame([(10, "v", 1, 2, 3)], user))
+        assert read(fixtures.payload_pages(posts, twice))[0] == ([(1, "a"), (1, "a"), (2, "b"), (2, "b"), (3, None)], ["u", "v"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
