@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 LEARNED_ROLE = "assistant"
 ROLE_END = "\n"
+# Turns that a task holds as Python strings beside the conversation they belong to.
+PART_ROWS = 256
 
 # What may not stand unescaped in a role or text (fixed values).
 _CONTROL = re.compile(r"<\\*(?=/?s>|</?SYS>>)|\[\\*(?=/?INST\])")
@@ -177,8 +179,9 @@ def format_conversations(conversations: DataFrame, tokenizer: Tokenizer) -> Data
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = tokenizer.load()
         current, turns, done, size = None, [], [], 0
-        for batch in batches:
-            for conv, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        parts = (b.slice(i, PART_ROWS) for b in batches for i in range(0, b.num_rows, PART_ROWS))
+        for part in parts:
+            for conv, role, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 if turns and conv != current:
                     done.append((current, turns))
                     turns = []

@@ -1,10 +1,12 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chatterscope.llm import chat
-from chatterscope.llm.queries import TOKENIZERS
+from chatterscope.llm.queries import TOKENIZERS, _read_back
 
 TOKENIZER = chat.Tokenizer(f"{TOKENIZERS}/byte_bpe_50k.json")
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string"
@@ -57,3 +59,19 @@ def test_token_mask_is_that_of_a_scan():
 def test_spans_that_share_characters_count_once():
     assert chat.text_under("abcdef", [(0, 2), (1, 3), (4, 5)]) == "abce"
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_spans_are_read_back_one_conversation_at_a_time():
+    text, _ = chat.render([("assistant", "ab" * 500)])
+    at = text.index("ab")
+    spans = [{"first": at + i, "last": at + i + 1} for i in range(1000)]
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+    one = pa.array([spans], kind)
+    columns = [pa.array(range(300)), pa.array([text] * 300), pa.concat_arrays([one] * 300)]
+    batch = pa.RecordBatch.from_arrays(columns, ["conv_id", "formatted", "loss_spans"])
+    tracemalloc.start()
+    (found,) = _read_back([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found["loss_chars"].to_pylist()) == {1000} and found.num_rows == 300
+    assert peak < 8 << 20
