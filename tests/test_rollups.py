@@ -124,3 +124,12 @@ def test_search_opens_only_files_with_a_tag(spark, tmp_path):
     opened, every = got.inputFiles(), spark.read.parquet(kept).inputFiles()
     assert 0 < len(opened) <= 3 < 20 <= len(every)
     assert indexed.search_indexed(spark, kept, index, ["nowhere"]).count() == 0
+
+
+def test_candidates_are_counted_by_the_tasks(spark):
+    feed = spark.createDataFrame([("One two two three a", 1), ("two é éé", 2), (None, 3)], "text string, id int")
+    counted = heavy.counts_of(feed, ["two", "éé", "never"])
+    assert {tuple(r) for r in counted.collect()} == {("two", 3), ("éé", 1)}
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    assert sorted(r["word"] for r in heavy.clean_words(feed, ["one"]).collect()) == ["three", "two", "two", "two", "éé"]
