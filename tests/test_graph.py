@@ -324,3 +324,27 @@ def test_a_small_component_is_split_without_rounds_by_level(spark, monkeypatch):
     assert got == {v: numbers[root] for v, root in expected.items()}
     empty = table.limit(0)
     assert communities.edge_betweenness(empty).isEmpty() and communities.split_communities(empty).isEmpty()
+
+
+@pytest.mark.parametrize("bound", [1 << 20, 150, 0])
+def test_components_fall_apart_on_their_own(spark, monkeypatch, bound):
+    # Several components of several sizes, some alike, some with ties: small and large ways agree.
+    monkeypatch.setattr(communities, "SMALL_COMPONENT", bound)
+    monkeypatch.setattr(communities, "FIRST_TURN", 1)
+    ring = [(100, 101), (101, 102), (102, 103), (100, 103)]
+    same = [(a + 100, b + 100) for a, b in ring]
+    edges = [*{(min(e), max(e)) for e in random_edges(5, 9, 16) if e[0] != e[1]}, *ring, *same, (300, 301), (301, 302), (300, 302)]
+    got = {r["id"]: r["community"] for r in communities.split_communities(edge_table(spark, edges)).collect()}
+    expected = brute_split(sorted(edges))
+    numbers = {root: i + 1 for i, root in enumerate(sorted(set(expected.values())))}
+    assert got == {v: numbers[root] for v, root in expected.items()}
+
+
+def test_small_components_need_no_rounds(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("a round for a small component")
+
+    monkeypatch.setattr(communities, "betweenness", refused)
+    edges = edge_table(spark, [(i, i + d) for i in range(0, 400, 10) for d in (1, 2, 3)] + [(i + 1, i + 2) for i in range(0, 400, 10)])
+    got = {r["id"]: r["community"] for r in communities.split_communities(edges).collect()}
+    assert len(set(got.values())) == 41 and got[0] == got[1] == got[2] != got[3]
